@@ -359,11 +359,6 @@ def latest_at_frames_chunked(spark: SparkSession, sf: str) -> DataFrame:
     return align.latest_at_frames(asked, shown_, ["custkey"], rows_per_chunk=20)
 
 
-STEP = 3_600_000_000_000
-GRID = f"""r as (select segment_id, min(time_ns) lo, max(time_ns) hi from rec where s is not null or g is not null group by segment_id),
- grid as (select segment_id, unnest(range(lo, greatest(hi, lo + 1), {10**9 // 2})) time_ns from r)"""
-
-
 def day_seconds(spark: SparkSession, sf: str) -> DataFrame:
     """The recording with one day of time shrunk to a second."""
     return t.recording(spark, sf).withColumn(TIME, F.call_function("div", F.col(TIME), F.lit(86_400)))

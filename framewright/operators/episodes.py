@@ -186,15 +186,15 @@ def episode_stats(
     Every feature becomes (feature, position, value) rows that are combined before the
     shuffle, so what moves is one row per episode, feature and position of each task.
     """
-    entries = [
-        F.transform(
-            _q(c), lambda x, i, name=c: F.struct(F.lit(name).alias("feature"), i.alias("pos"), x.cast("double").alias("value"))
-        )
-        for c in vector_features
-    ]
-    scalars = [
-        F.struct(F.lit(c).alias("feature"), F.lit(0).alias("pos"), _q(c).cast("double").alias("value")) for c in scalar_features
-    ]
+
+    def entry(name: str, pos: Column, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("feature"), pos.alias("pos"), value.cast("double").alias("value"))
+
+    def positions(name: str) -> Column:
+        return F.transform(_q(name), lambda x, i: entry(name, i, x))
+
+    entries = [positions(c) for c in vector_features]
+    scalars = [entry(c, F.lit(0), _q(c)) for c in scalar_features]
     all_entries = F.concat(*entries, F.array(*scalars)) if scalars else F.concat(*entries)
     long = frames.select(*keys, F.explode(all_entries).alias("_e")).select(*keys, "_e.*")
     return long.groupBy(*keys, "feature", "pos").agg(
@@ -211,7 +211,11 @@ def pack_stats(stats: DataFrame, keys: Sequence[str] = ("episode_index",)) -> Da
     fields = ("min", "max", "mean", "std", "count")
     ordered = F.array_sort(F.collect_list(F.struct("pos", *fields)))
     packed = stats.groupBy(*keys, "feature").agg(ordered.alias("_s"))
-    return packed.select(*keys, "feature", *[F.transform("_s", lambda s, f=f: s[f]).alias(f) for f in fields])
+
+    def values(name: str) -> Column:
+        return F.transform("_s", lambda s: s[name]).alias(name)
+
+    return packed.select(*keys, "feature", *[values(f) for f in fields])
 
 
 def dataset_stats(stats: DataFrame) -> DataFrame:
