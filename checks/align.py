@@ -434,7 +434,8 @@ URL = r"'^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]+)([^?#]*)'"
     rf"""with u as (select page_id, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*)://[^/?#]+', 1) scheme,
  regexp_extract(url, {URL}, 1) host, list_filter(string_split(regexp_extract(url, {URL}, 2), '/'), lambda p: p <> '') parts from
  (select page_id, url from pages union all select -1-page_id, regexp_replace(regexp_replace(url, '/(fr|en|de|es)/', '/entry/'), '^https', 'data') from pages
-  union all select -1000000000-page_id, regexp_replace(url, '/(fr|en|de|es)/', '/') from pages))
+  union all select -1000000000-page_id, regexp_replace(url, '/(fr|en|de|es)/', '/') from pages
+  union all select -2000000000-page_id, regexp_replace(url, '^https?://', '') from pages))
  select page_id, case when scheme <> '' and ((len(parts) >= 2 and parts[-2] = 'entry') or len(parts)=1) then lower(scheme) || '://' || host end catalog_url,
  case when scheme <> '' and ((len(parts) >= 2 and parts[-2] = 'entry') or len(parts)=1) then parts[-1] end entry_id,
  case when scheme = '' then 'invalid dataset url' when (len(parts) >= 2 and parts[-2] = 'entry') or len(parts)=1 then null else 'no entry id' end error from u"""
@@ -445,8 +446,9 @@ def split_dataset_url(spark: SparkSession, sf: str) -> DataFrame:
     entry = F.regexp_replace(F.regexp_replace("url", lang, "/entry/"), "^https", "data")
     named = pages.select((-1 - F.col("page_id")).alias("page_id"), entry.alias("url"))
     bare = pages.select((-1000000000 - F.col("page_id")).alias("page_id"), F.regexp_replace("url", lang, "/").alias("url"))
+    loose = pages.select((-2000000000 - F.col("page_id")).alias("page_id"), F.regexp_replace("url", "^https?://", "").alias("url"))
     split = names.split_dataset_url(F.col("url"))
-    return pages.unionByName(named).unionByName(bare).select("page_id", split.alias("u")).select("page_id", "u.*")
+    return pages.unionByName(named).unionByName(bare).unionByName(loose).select("page_id", split.alias("u")).select("page_id", "u.*")
 
 
 @query("select count(*) frames, true refused from events where event_type='click'")

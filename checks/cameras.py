@@ -228,7 +228,7 @@ def source_fps_chunked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Cameras of the events give a frame every few hours; times are shrunk so that rates near 10 occur.
-SHRINK = 400_000
+SHRINK = 1_300_000
 FAST = f"""{CAM}, fast as (select segment_id, camera_key, ordinal, time_ns // {SHRINK} time_ns from cam),
  i as (select segment_id, camera_key, time_ns - lag(time_ns) over (partition by segment_id, camera_key order by ordinal) d from fast),
  rt as (select segment_id, camera_key, count(*) samples, median(d) m from i group by 1, 2),

@@ -15,7 +15,7 @@ from framewright.operators import profile, rates
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
 from framewright.operators.scans import CHUNK
 from framewright.plans import convert
-from framewright.session import scratch_path
+from framewright.session import scratch_path, stage
 from framewright.sources import sinks
 
 FRAME_COLUMNS = f"segment_id, ordinal, time_ns, frame_index, {t.centi_sql('a')} action, {t.centi_sql('state')} state, task"
@@ -222,16 +222,15 @@ def sample_interval(spark: SparkSession, sf: str) -> DataFrame:
     return rates.sample_interval(rows, [SEGMENT]).select(SEGMENT, ORDINAL, "interval_ns")
 
 
-# The stored order of this recording is by value, so most segments are not in time order.
+# Some rows of this recording are stored long after their time.
 @query(
-    f"""with {EV}, o as (select segment_id, time_ns, cast(round(value*100) as bigint)*100000000 + ordinal ordinal, event_type from ev where event_type='signup'),
+    f"""with {EV}, o as (select segment_id, time_ns, ordinal + case when k >= 99 then 1000000000 else 0 end ordinal from ev),
  s as (select segment_id, time_ns < lag(time_ns) over (partition by segment_id order by ordinal) back from o)
  select segment_id, not bool_or(coalesce(back, false)) sorted from s group by segment_id"""
 )
 def is_sorted_check(spark: SparkSession, sf: str) -> DataFrame:
-    rows = t.events(spark, sf).where("event_type = 'signup'")
-    stored = F.round(F.col("value") * 100).cast("long") * F.lit(100_000_000) + F.col(ORDINAL)
-    return profile.is_sorted(rows.withColumn(ORDINAL, stored))
+    stored = F.col(ORDINAL) + F.when(F.col("k") >= 99, F.lit(1_000_000_000)).otherwise(0)
+    return profile.is_sorted(t.events(spark, sf).withColumn(ORDINAL, stored))
 
 
 @query(
@@ -363,11 +362,11 @@ def convert_dataset_chunked(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{DATASET} {NUMBERED}")
 def finalize_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    """Numbering of rows that are already aligned, without staging anything."""
-    dense = frames(spark, sf, faults=True)
-    episodes = ep.number_episodes(_status(spark, sf), [SEGMENT])
-    task_rows = ep.episode_task_rows(dense)
-    return numbered(ep.number_frames(dense, task_rows, episodes, ep.number_tasks(task_rows, episodes), CONFIG))
+    """Numbering of rows that are already aligned, with known features."""
+    dense = stage(frames(spark, sf, faults=True), "aligned")
+    held = profile.segment_profile(t.recording(spark, sf, faults=True), CONFIG.scalar_columns, CONFIG.reference_column)
+    features = {"action": {"dtype": "float32", "shape": [2]}, "observation.state": {"dtype": "float32", "shape": [3]}}
+    return numbered(convert.finalize_dataset(dense, stage(held, "segments"), CONFIG, features).frames)
 
 
 @query(f"{DATASET} {NUMBERED}")

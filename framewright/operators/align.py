@@ -45,9 +45,14 @@ def index_reader(recording: DataFrame, columns: Sequence[str]) -> DataFrame:
     return kept.where(_q(TIME).isNotNull() & some)
 
 
-def plan_segments(rows: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> Chunks:
-    """Chunks of the segments in time order."""
-    return plan_chunks(rows, [SEGMENT], POSITION, rows_per_chunk=rows_per_chunk)
+def plan_segments(recording: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> Chunks:
+    """Chunks of the segments in time order.
+
+    Counts all rows with a time, also those that hold no wanted value, so that only
+    three narrow columns are read.
+    """
+    keyed = recording.select(SEGMENT, TIME, ORDINAL).where(_q(TIME).isNotNull())
+    return plan_chunks(keyed, [SEGMENT], POSITION, rows_per_chunk=rows_per_chunk)
 
 
 def latest_at(
@@ -68,7 +73,7 @@ def latest_at(
     """
     filled = [c for c in dict.fromkeys(columns) if c != reference]
     rows = index_reader(recording, [reference, *filled])
-    chunks = plan_segments(rows, rows_per_chunk=rows_per_chunk)
+    chunks = plan_segments(recording, rows_per_chunk=rows_per_chunk)
     carry = _carry(rows, reference, filled, chunks) if chunks.split else None
 
     # Everything below needs one exchange and one sort by (segment, chunk, time, ordinal).

@@ -16,7 +16,7 @@ from framewright.operators.scans import (
     number_all,
     number_rows,
     plan_chunks,
-    total_before,
+    totals_before,
 )
 
 ACTION, STATE, TASK = "action", "observation.state", "task"
@@ -90,20 +90,19 @@ def segment_errors(frames: DataFrame, profile: DataFrame, config: ConversionConf
     return without.unionByName(faulty).groupBy(SEGMENT).agg(F.min_by("reason", "at").alias("reason"))
 
 
-def segment_status(profile: DataFrame, errors: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
-    """Every segment with what becomes of it: converted, empty, skipped or failed."""
-    rows = profile.join(errors, [SEGMENT], "left")
-    if sizes is not None:
-        rows = rows.join(sizes.select(SEGMENT, F.col("size_bytes").alias("_bytes")), [SEGMENT], "left")
-    else:
-        rows = rows.withColumn("_bytes", F.lit(None).cast("long"))
+def segment_status(profile: DataFrame, errors: DataFrame) -> DataFrame:
+    """Every segment with what becomes of it: converted, empty, skipped or failed.
+
+    A segment is skipped when its ``size_bytes`` is known to be 0.
+    """
+    known = F.col("size_bytes") if "size_bytes" in profile.columns else F.lit(None).cast("long")
     status = (
-        F.when(F.col("_bytes") == 0, "skipped")
+        F.when(known == 0, "skipped")
         .when(F.col("reason").isNotNull(), "failed")
         .when(F.col("length") == 0, "empty")
         .otherwise("converted")
     )
-    return rows.withColumn("status", status).drop("_bytes")
+    return profile.join(errors, [SEGMENT], "left").withColumn("status", status)
 
 
 def number_episodes(status: DataFrame, order: Sequence[str], *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
@@ -112,11 +111,9 @@ def number_episodes(status: DataFrame, order: Sequence[str], *, rows_per_chunk:
     Works on the segment table; frames are never sorted as a whole.
     """
     written = status.where(F.col("status") == "converted")
-    numbered = number_all(written, order, "episode_index", rows_per_chunk=rows_per_chunk)
-    offset = total_before(
-        numbered, ["episode_index"], F.col("length"), "dataset_from_index", rows_per_chunk=rows_per_chunk
-    )
-    return offset.withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
+    before = {"episode_index": F.lit(1).cast("long"), "dataset_from_index": F.col("length")}
+    numbered = totals_before(written, order, before, rows_per_chunk=rows_per_chunk)
+    return numbered.withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
 
 
 def episode_task_rows(frames: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from framewright.config import ConversionConfig
 from framewright.functions import vectors
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
+from framewright.operators.rates import source_fps
 from framewright.operators.scans import ROWS_PER_CHUNK, plan_chunks, previous_value
 
 
@@ -117,14 +118,11 @@ def infer_features(recording: DataFrame, config: ConversionConfig) -> DataFrame:
 
 def index_range(recording: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Range, row count and suggested rate of the timeline of every segment."""
-    from framewright.operators.rates import rate_of_intervals, sample_interval
-
     rows = recording.select(SEGMENT, ORDINAL, TIME).where(_q(TIME).isNotNull())
     ranges = rows.groupBy(SEGMENT).agg(
         F.min(TIME).alias("min_ns"), F.max(TIME).alias("max_ns"), F.count(F.lit(1)).alias("rows")
     )
-    steps = sample_interval(rows, [SEGMENT], [TIME, ORDINAL], rows_per_chunk=rows_per_chunk)
-    rates = rate_of_intervals(steps, [SEGMENT], rows_per_chunk=rows_per_chunk)
+    rates = source_fps(rows, [SEGMENT], [TIME, ORDINAL], rows_per_chunk=rows_per_chunk)
     return ranges.join(rates.select(SEGMENT, "source_fps"), [SEGMENT], "left").withColumn(
         "suggested_fps", F.greatest(F.round("source_fps"), F.lit(1.0)).cast("long")
     )

@@ -8,28 +8,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.operators.align import ORDINAL, TIME
-from framewright.operators.scans import ROWS_PER_CHUNK, plan_chunks, previous_value, running_total
+from framewright.operators.scans import ROWS_PER_CHUNK, Chunks, plan_chunks, previous_value, running_total
+from framewright.session import stage
 
 
 def sample_interval(
-    samples: DataFrame, keys: Sequence[str], order: Sequence[str] = (ORDINAL,), *, rows_per_chunk: int = ROWS_PER_CHUNK
+    samples: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (ORDINAL,),
+    *,
+    chunks: Chunks | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Time since the sample before, in stored order unless another order is given."""
-    chunks = plan_chunks(samples, keys, order, rows_per_chunk=rows_per_chunk)
+    chunks = chunks or plan_chunks(samples, keys, order, rows_per_chunk=rows_per_chunk)
     stepped = previous_value(samples, TIME, "_previous", chunks)
     return stepped.withColumn("interval_ns", F.col(TIME) - F.col("_previous")).drop("_previous")
 
 
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, *, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str,
+    *,
+    small_groups: bool = False,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Exact median per group; equal values are counted before anything is shuffled.
 
     The counted values of a large group are cut into chunks like any ordered scan, so
-    no task needs all distinct values of a group.
+    no task needs all distinct values of a group. ``small_groups`` says that no group
+    has more than ``rows_per_chunk`` rows, which saves looking again.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = plan_chunks(counted, keys, [value], rows_per_chunk=rows_per_chunk)
+    chunks = Chunks(tuple(keys), (value,))
+    if not small_groups:
+        counted = stage(counted, "counted")
+        chunks = plan_chunks(counted, keys, [value], rows_per_chunk=rows_per_chunk)
     upto = running_total(counted, F.col("_n"), "_upto", chunks)
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     ranked = upto.join(totals, list(keys))
@@ -42,18 +58,20 @@ def exact_median(
     return middle.agg(((F.min(value) + F.max(value)) / F.lit(2.0)).alias(name))
 
 
-def rate_of_intervals(df: DataFrame, keys: Sequence[str], *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def source_fps(
+    samples: DataFrame, keys: Sequence[str], order: Sequence[str] = (ORDINAL,), *, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
     """Rate per group from the median interval; 0.0 for fewer than two samples or a zero median."""
-    medians = exact_median(df, keys, "interval_ns", "median_ns", rows_per_chunk=rows_per_chunk)
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"))
+    columns = dict.fromkeys([*keys, ORDINAL, TIME])
+    samples = samples.select(*columns)
+    chunks = plan_chunks(samples, keys, order, rows_per_chunk=rows_per_chunk)
+    steps = sample_interval(samples, keys, order, chunks=chunks)
+    medians = exact_median(
+        steps, keys, "interval_ns", "median_ns", small_groups=not chunks.split, rows_per_chunk=rows_per_chunk
+    )
+    counts = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"))
     rate = F.when(F.col("median_ns") != 0, F.lit(1e9) / F.col("median_ns"))
-    return groups.join(medians, list(keys), "left").withColumn("source_fps", F.coalesce(rate, F.lit(0.0)))
-
-
-def source_fps(samples: DataFrame, keys: Sequence[str], *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Rate of every camera of every segment."""
-    steps = sample_interval(samples.select(*keys, ORDINAL, TIME), keys, rows_per_chunk=rows_per_chunk)
-    return rate_of_intervals(steps, keys, rows_per_chunk=rows_per_chunk)
+    return counts.join(medians, list(keys), "left").withColumn("source_fps", F.coalesce(rate, F.lit(0.0)))
 
 
 def copy_decision(rate: Column, samples: Column, fps: int, tolerance: float = 0.05) -> Column:

@@ -9,7 +9,7 @@ limit form a single chunk, and when no group is above it the plan is the plain w
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from framewright.session import stage
 
-ROWS_PER_CHUNK = 2_000_000
+ROWS_PER_CHUNK = 1_000_000
 # Sampled rows per chunk. They only choose where chunks begin; every row is kept.
 SAMPLES_PER_CHUNK = 64
 
@@ -133,22 +133,33 @@ def _order(chunks: Chunks) -> list[Column]:
     return [F.col(f"`{c}`") for c in chunks.order]
 
 
-def running_total(df: DataFrame, value: Column, name: str, chunks: Chunks, *, inclusive: bool = True) -> DataFrame:
-    """Sum of ``value`` over the rows of a group up to the current one."""
-    df = df.withColumn("_value", value)
+def running_totals(
+    df: DataFrame, values: Mapping[str, Column], chunks: Chunks, *, inclusive: bool = True
+) -> DataFrame:
+    """Sum of each value over the rows of a group up to the current one, or before it."""
+    parts = {name: f"_value{i}" for i, name in enumerate(values)}
+    df = df.select("*", *[value.alias(parts[name]) for name, value in values.items()])
     rows = spread(df, chunks)
     until_now = Window.partitionBy(*chunks.partition).orderBy(*_order(chunks)).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("_value").over(until_now)
-    if not inclusive:
-        total = total - F.col("_value")
-    rows = rows.withColumn(name, total)
+    totals = []
+    for name, part in parts.items():
+        total = F.sum(part).over(until_now)
+        totals.append((total if inclusive else total - F.col(part)).alias(name))
+    rows = rows.select("*", *totals)
     if chunks.split:
-        sums = only_split_groups(df, chunks).groupBy(*chunks.partition).agg(F.sum("_value").alias("_sum"))
+        sums = only_split_groups(df, chunks).groupBy(*chunks.partition)
+        sums = sums.agg(*[F.sum(part).alias(part) for part in parts.values()])
         before = Window.partitionBy(*chunks.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        carry = sums.select(*chunks.partition, F.sum("_sum").over(before).alias("_before"))
+        carry = sums.select(*chunks.partition, *[F.sum(part).over(before).alias(f"_before{part}") for part in parts.values()])
         rows = join_carry(rows, carry, chunks)
-        rows = rows.withColumn(name, F.col(name) + F.coalesce(F.col("_before"), F.lit(0))).drop("_before")
-    return rows.drop("_value", CHUNK)
+        for name, part in parts.items():
+            rows = rows.withColumn(name, F.col(name) + F.coalesce(F.col(f"_before{part}"), F.lit(0)))
+        rows = rows.drop(*[f"_before{part}" for part in parts.values()])
+    return rows.drop(*parts.values(), CHUNK)
+
+
+def running_total(df: DataFrame, value: Column, name: str, chunks: Chunks, *, inclusive: bool = True) -> DataFrame:
+    return running_totals(df, {name: value}, chunks, inclusive=inclusive)
 
 
 def number_rows(df: DataFrame, name: str, chunks: Chunks) -> DataFrame:
@@ -156,20 +167,21 @@ def number_rows(df: DataFrame, name: str, chunks: Chunks) -> DataFrame:
     return running_total(df, F.lit(1).cast("long"), name, chunks, inclusive=False)
 
 
-def number_all(df: DataFrame, order: Sequence[str], name: str, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Dense row number from 0 over a whole table, for tables of one row per segment, episode or task."""
+def totals_before(
+    df: DataFrame, order: Sequence[str], values: Mapping[str, Column], *, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
+    """Sum of each value over all rows of a table before the current one.
+
+    For tables of one row per segment, episode or task; they too are cut when large.
+    """
     whole = df.withColumn("_all", F.lit(0))
     chunks = plan_chunks(whole, ["_all"], order, rows_per_chunk=rows_per_chunk)
-    return number_rows(whole, name, chunks).drop("_all")
+    return running_totals(whole, values, chunks, inclusive=False).drop("_all")
 
 
-def total_before(
-    df: DataFrame, order: Sequence[str], value: Column, name: str, *, rows_per_chunk: int = ROWS_PER_CHUNK
-) -> DataFrame:
-    """Sum of ``value`` over all rows before the current one, over a whole table."""
-    whole = df.withColumn("_all", F.lit(0))
-    chunks = plan_chunks(whole, ["_all"], order, rows_per_chunk=rows_per_chunk)
-    return running_total(whole, value, name, chunks, inclusive=False).drop("_all")
+def number_all(df: DataFrame, order: Sequence[str], name: str, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Dense row number from 0 over a whole table."""
+    return totals_before(df, order, {name: F.lit(1).cast("long")}, rows_per_chunk=rows_per_chunk)
 
 
 def previous_value(df: DataFrame, value: str, name: str, chunks: Chunks) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from framewright.operators import episodes as ep
 from framewright.operators import profile as prof
 from framewright.operators import rates
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
+from framewright.operators.scans import number_all
 from framewright.session import stage
 from framewright.sources import recordings as rec
 from framewright.sources import sinks
@@ -27,15 +28,27 @@ class Dataset:
     frames: DataFrame
     episodes: DataFrame
     tasks: DataFrame
-    episode_tasks: DataFrame
+    task_rows: DataFrame
     status: DataFrame
     features: dict[str, dict[str, object]]
+    config: ConversionConfig
     encoder: str = "h264"
     camera_plan: DataFrame | None = None
     camera_frames: DataFrame | None = None
     cameras: DataFrame | None = None
     packets: DataFrame | None = None
-    squeeze: list[str] = field(default_factory=list)
+
+    @property
+    def squeeze(self) -> list[str]:
+        """Vector features of one element, which are stored as plain numbers."""
+        return [name for name in ep.VECTOR_FEATURES if self.features[name]["shape"] == [1]]
+
+    def episode_tasks(self) -> DataFrame:
+        """Tasks of every episode in the order in which they appear."""
+        placed = ep.episode_tasks(self.task_rows, rows_per_chunk=self.config.rows_per_chunk)
+        placed = placed.join(self.episodes.select(SEGMENT, "episode_index"), [SEGMENT])
+        placed = placed.join(self.tasks.select(ep.TASK, "task_index"), [ep.TASK])
+        return placed.select("episode_index", SEGMENT, "position", "task_index", ep.TASK)
 
     def stats(self) -> DataFrame:
         """Statistics per episode, feature and position."""
@@ -55,13 +68,6 @@ def read_features(inferred: DataFrame) -> dict[str, dict[str, object]]:
     return features
 
 
-def _first_segment(listed: DataFrame) -> str:
-    first = listed.orderBy("seg_pos").limit(1).collect()
-    if not first:
-        raise ValueError("no segments found")
-    return first[0][SEGMENT]
-
-
 def _resolve(recording: DataFrame, samples: DataFrame, config: ConversionConfig) -> DataFrame:
     spark = recording.sparkSession
     specs = spark.createDataFrame(
@@ -71,6 +77,76 @@ def _resolve(recording: DataFrame, samples: DataFrame, config: ConversionConfig)
     return cam.resolve_cameras(cam.camera_kinds(specs, columns), samples, config.output_format)
 
 
+def select_segments(
+    recording: DataFrame,
+    config: ConversionConfig,
+    *,
+    segments: Sequence[str] | None = None,
+    max_segments: int | None = None,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """The segments to convert with their place and profile; one row each.
+
+    One pass over the recording finds the segments and all that is needed of them
+    before the alignment. A segment that is listed but not there has no rows; one whose
+    known size is 0 is not looked at.
+    """
+    rows = ep.prepare(recording, config)
+    if segments:
+        listed = rec.place_segments(recording.sparkSession, segments)
+        rows = rec.filter_segments(rows, listed)
+    profile = prof.segment_profile(rows, config.scalar_columns, config.reference_column)
+    if segments:
+        profile = listed.join(profile, [SEGMENT], "left")
+        profile = profile.withColumn("length", F.coalesce("length", F.lit(0)))
+    else:
+        profile = stage(profile, "profile")
+        profile = number_all(profile, [SEGMENT], "seg_pos", rows_per_chunk=config.rows_per_chunk)
+    if max_segments is not None:
+        profile = profile.where(F.col("seg_pos") < max_segments)
+    if sizes is not None:
+        profile = profile.join(sizes.select(SEGMENT, "size_bytes"), [SEGMENT], "left")
+    else:
+        profile = profile.withColumn("size_bytes", F.lit(None).cast("long"))
+    return stage(profile, "segments")
+
+
+def finalize_dataset(
+    dense: DataFrame,
+    profile: DataFrame,
+    config: ConversionConfig,
+    features: dict[str, dict[str, object]],
+    *,
+    lacking: DataFrame | None = None,
+    encoder: str = "h264",
+) -> Dataset:
+    """Number aligned rows: episodes, frames and tasks.
+
+    ``dense`` and ``profile`` are staged tables, since each is read several times.
+    ``lacking`` names segments that fail for another reason, such as a missing camera.
+    """
+    errors = ep.segment_errors(dense, profile, config)
+    if lacking is not None:
+        both = errors.join(lacking.withColumnRenamed("reason", "_reason"), [SEGMENT], "full")
+        errors = both.select(SEGMENT, F.coalesce("reason", "_reason").alias("reason"))
+    status = stage(ep.segment_status(profile, errors), "status")
+    order = ["seg_pos"] if "seg_pos" in status.columns else [SEGMENT]
+    episodes = stage(ep.number_episodes(status, order, rows_per_chunk=config.rows_per_chunk), "episodes")
+
+    task_rows = stage(ep.episode_task_rows(dense), "task-rows")
+    tasks = stage(ep.number_tasks(task_rows, episodes, rows_per_chunk=config.rows_per_chunk), "tasks")
+    return Dataset(
+        frames=ep.number_frames(dense, task_rows, episodes, tasks, config),
+        episodes=episodes,
+        tasks=tasks,
+        task_rows=task_rows,
+        status=status,
+        features=features,
+        config=config,
+        encoder=encoder,
+    )
+
+
 def convert_dataset(
     recording: DataFrame,
     config: ConversionConfig,
@@ -82,18 +158,19 @@ def convert_dataset(
 ) -> Dataset:
     """Convert all segments of a recording in one go.
 
-    Three passes: lengths and presence of the raw columns, the alignment (whose dense
+    Three passes: a profile of the raw columns per segment, the alignment (whose dense
     rows are written to the scratch folder once), and the numbering of those rows. A
     faulty segment is set aside and the others go on. The features come from the first
     segment; a fault there raises.
     """
-    listed = rec.segment_listing(recording, segments=segments, max_segments=max_segments)
-    first = _first_segment(listed)
+    profile = select_segments(recording, config, segments=segments, max_segments=max_segments, sizes=sizes)
+    first = profile.agg(F.min_by(SEGMENT, "seg_pos").alias(SEGMENT)).collect()[0][SEGMENT]
+    if first is None:
+        raise ValueError("no segments found")
     rows = ep.prepare(recording, config)
     features = read_features(prof.infer_features(rows.where(F.col(SEGMENT) == first), config))
 
-    resolved, camera_keys = None, [v.key for v in config.videos]
-    encoder = "h264"
+    resolved, encoder = None, "h264"
     if config.videos:
         if cameras is None:
             parts = [rec.camera_reader(recording, v.path, v.key, config.camera_timeline(v)) for v in config.videos]
@@ -103,53 +180,25 @@ def convert_dataset(
         features |= read_features(cam.camera_features(resolved, samples))
         encoder = rules.ENCODERS.get((config.output_format or "").lower(), "h264")
 
-    restricted = bool(segments) or max_segments is not None
-    chosen = rec.filter_segments(recording, listed) if restricted else recording
-    if sizes is not None:
-        chosen = rec.skip_empty_segments(chosen, sizes)
-    profile = prof.segment_profile(ep.prepare(chosen, config), config.scalar_columns, config.reference_column)
-    profile = listed.join(profile, [SEGMENT], "left").withColumn("length", F.coalesce("length", F.lit(0)))
-    profile = stage(profile, "segments")
-
+    chosen = recording
+    if segments or max_segments is not None or sizes is not None:
+        wanted = profile.where(F.coalesce(F.col("size_bytes"), F.lit(1)) != 0)
+        chosen = rec.filter_segments(recording, wanted)
     action_dim, state_dim = features[ep.ACTION]["shape"][0], features[ep.STATE]["shape"][0]
     dense = stage(ep.build_episodes(chosen, config, action_dim=action_dim, state_dim=state_dim), "aligned")
-
-    errors = ep.segment_errors(dense, profile, config)
-    if cameras is not None and camera_keys:
-        errors = _camera_errors(profile, cameras, resolved, errors)
-    status = stage(ep.segment_status(profile, errors, sizes), "status")
-    episodes = stage(ep.number_episodes(status, ["seg_pos"], rows_per_chunk=config.rows_per_chunk), "episodes")
-
-    task_rows = stage(ep.episode_task_rows(dense), "task-rows")
-    tasks = stage(ep.number_tasks(task_rows, episodes, rows_per_chunk=config.rows_per_chunk), "tasks")
-    frames = ep.number_frames(dense, task_rows, episodes, tasks, config)
-    episode_tasks = ep.episode_tasks(task_rows, rows_per_chunk=config.rows_per_chunk)
-    episode_tasks = episode_tasks.join(episodes.select(SEGMENT, "episode_index"), [SEGMENT]).join(
-        tasks.select(ep.TASK, "task_index"), [ep.TASK]
-    )
-    dataset = Dataset(
-        frames=frames,
-        episodes=episodes,
-        tasks=tasks,
-        episode_tasks=episode_tasks.select("episode_index", SEGMENT, "position", "task_index", ep.TASK),
-        status=status,
-        features=features,
-        encoder=encoder,
-        squeeze=[n for n in (ep.ACTION, ep.STATE) if features[n]["shape"] == [1]],
-    )
+    lacking = None if resolved is None else _camera_errors(profile, cameras, config)
+    dataset = finalize_dataset(dense, profile, config, features, lacking=lacking, encoder=encoder)
     return dataset if resolved is None else _with_cameras(dataset, dense, cameras, resolved, config)
 
 
-def _camera_errors(profile: DataFrame, cameras: DataFrame, resolved: DataFrame, errors: DataFrame) -> DataFrame:
+def _camera_errors(profile: DataFrame, cameras: DataFrame, config: ConversionConfig) -> DataFrame:
     """Segments that lack frames of a camera fail, like those that lack a scalar column."""
     held = cameras.where(F.col("sample").isNotNull()).groupBy(SEGMENT, cam.CAMERA).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = [row[cam.CAMERA] for row in resolved.select(cam.CAMERA).collect()]
-    asked = profile.where(F.col("length") > 0).select(SEGMENT, F.explode(F.array(*[F.lit(k) for k in wanted])).alias(cam.CAMERA))
-    lacking = asked.join(held, [SEGMENT, cam.CAMERA], "left_anti")
-    reasons = lacking.groupBy(SEGMENT).agg(F.min(cam.CAMERA).alias("_camera"))
-    reasons = reasons.select(SEGMENT, F.concat(F.lit("no samples for camera '"), F.col("_camera"), F.lit("'")).alias("_reason"))
-    both = errors.join(reasons, [SEGMENT], "full")
-    return both.select(SEGMENT, F.coalesce("reason", "_reason").alias("reason"))
+    wanted = F.array(*[F.lit(v.key) for v in config.videos])
+    asked = profile.where(F.col("length") > 0).select(SEGMENT, F.explode(wanted).alias(cam.CAMERA))
+    lacking = asked.join(held, [SEGMENT, cam.CAMERA], "left_anti").groupBy(SEGMENT).agg(F.min(cam.CAMERA).alias("_camera"))
+    reason = F.concat(F.lit("no samples for camera '"), F.col("_camera"), F.lit("'"))
+    return lacking.select(SEGMENT, reason.alias("reason"))
 
 
 def _with_cameras(
@@ -178,14 +227,8 @@ def _with_cameras(
     )
     copied = plan.where(F.col("mode") == "copy").select(*keys, "episode_index")
     manifest = cam.packet_manifest(cameras, rows_per_chunk=config.rows_per_chunk).join(copied, keys)
-    return Dataset(
-        **{
-            **dataset.__dict__,
-            "camera_plan": plan,
-            "camera_frames": aligned.join(numbered, [SEGMENT]),
-            "cameras": cameras,
-            "packets": manifest,
-        }
+    return replace(
+        dataset, camera_plan=plan, camera_frames=aligned.join(numbered, [SEGMENT]), cameras=cameras, packets=manifest
     )
 
 
@@ -200,7 +243,7 @@ def refuse_existing(spark: SparkSession, path: str) -> None:
     raise ValueError(f"output already exists: {path}")
 
 
-def write_dataset(dataset: Dataset, path: str, fps: int) -> None:
+def write_dataset(dataset: Dataset, path: str) -> None:
     """Write every table of a dataset; an existing output is refused."""
     spark = dataset.frames.sparkSession
     refuse_existing(spark, path)
@@ -212,7 +255,7 @@ def write_dataset(dataset: Dataset, path: str, fps: int) -> None:
     sinks.write_episodes(dataset.episodes.select(*columns), path)
     sinks.write_table(ep.pack_stats(stats), path, "meta/episode_stats")
     sinks.write_table(dataset.tasks.select("task_index", ep.TASK), path, "meta/tasks")
-    sinks.write_table(dataset.episode_tasks, path, "meta/episode_tasks")
+    sinks.write_table(dataset.episode_tasks(), path, "meta/episode_tasks")
     sinks.write_table(dataset.status, path, "meta/segments")
     if dataset.camera_plan is not None:
         sinks.write_table(dataset.camera_plan, path, "meta/cameras")
@@ -224,7 +267,7 @@ def write_dataset(dataset: Dataset, path: str, fps: int) -> None:
         decoded = dataset.camera_plan.where(F.col("mode") != "copy").select(SEGMENT, cam.CAMERA)
         used = dataset.camera_frames.join(decoded, [SEGMENT, cam.CAMERA], "left_semi")
         sinks.write_table(cam.frame_pick(used, dataset.cameras), path, "images/frames")
-    sinks.write_info(sinks.dataset_info(dataset.episodes, dataset.features, fps, dataset.encoder), path)
+    sinks.write_info(sinks.dataset_info(dataset.episodes, dataset.features, dataset.config.fps, dataset.encoder), path)
 
 
 def convert_directory(
@@ -233,7 +276,7 @@ def convert_directory(
     """Convert a folder of recordings and write the dataset."""
     refuse_existing(spark, output)
     dataset = convert_dataset(rec.read_recordings(spark, source), config, **options)
-    write_dataset(dataset, output, config.fps)
+    write_dataset(dataset, output)
     return dataset
 
 
@@ -241,5 +284,5 @@ def convert_catalog(spark: SparkSession, name: str, output: str, config: Convers
     """Convert a table of the catalog and write the dataset."""
     refuse_existing(spark, output)
     dataset = convert_dataset(rec.read_catalog(spark, name), config, **options)
-    write_dataset(dataset, output, config.fps)
+    write_dataset(dataset, output)
     return dataset

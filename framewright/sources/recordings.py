@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import images, names, times
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
+from framewright.operators.scans import number_all
 
 
 def read_recordings(spark: SparkSession, path: str, *, segment: str = SEGMENT) -> DataFrame:
@@ -128,21 +129,22 @@ def segment_sizes(table: DataFrame, *, segment: str = SEGMENT, size: str = "size
     return table.groupBy(F.col(segment).alias(SEGMENT)).agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("size_bytes"))
 
 
+def place_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
+    """A given list of segments with their places."""
+    rows = [(s, i) for i, s in enumerate(dict.fromkeys(segments))]
+    return spark.createDataFrame(rows, f"{SEGMENT} string, seg_pos long")
+
+
 def segment_listing(
     recording: DataFrame, *, segments: Sequence[str] | None = None, max_segments: int | None = None
 ) -> DataFrame:
     """Segments to work on with their place: all in name order, or the given ones in the given order."""
-    from framewright.operators.scans import number_all
-
+    held = recording.select(SEGMENT).distinct()
     if segments:
-        wanted = recording.sparkSession.createDataFrame(
-            [(s, i) for i, s in enumerate(dict.fromkeys(segments))], f"{SEGMENT} string, seg_pos long"
-        )
-        found = recording.select(SEGMENT).distinct()
-        listed = wanted.join(found, [SEGMENT], "left_semi")
+        listed = place_segments(recording.sparkSession, segments).join(held, [SEGMENT], "left_semi")
     else:
-        listed = number_all(recording.select(SEGMENT).distinct(), [SEGMENT], "seg_pos")
-    # The place is dense for the whole list, so the first n need no sort.
+        listed = number_all(held, [SEGMENT], "seg_pos")
+    # Places are dense over the whole list, so the first n need no sort.
     return listed if max_segments is None else listed.where(F.col("seg_pos") < max_segments)
 
 

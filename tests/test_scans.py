@@ -40,7 +40,7 @@ def test_number_all(spark, limit):
     one = df.where("k = 'hot'")
     got = scans.number_all(one, ["ordinal"], "n", rows_per_chunk=limit).collect()
     assert sorted((r.ordinal, r.n) for r in got) == [(i, i) for i in range(90)]
-    before = scans.total_before(one, ["ordinal"], F.col("time_ns"), "t", rows_per_chunk=limit).orderBy("ordinal").collect()
+    before = scans.totals_before(one, ["ordinal"], {"t": F.col("time_ns")}, rows_per_chunk=limit).orderBy("ordinal").collect()
     running = 0
     for r in before:
         assert r.t == running
