@@ -166,13 +166,15 @@ def latest_at_frames(
     keys: Sequence[str],
     *,
     clamp: bool = True,
+    counted: DataFrame | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """For every target row the ordinal and time of the latest frame at or before its time.
 
     Both sides carry ``keys``, ``time_ns`` and ``ordinal`` (unique within a key). Targets
     before the first frame take the first one unless ``clamp`` is False; a key without
-    frames gives null.
+    frames gives null. ``counted`` holds the keys of all rows of both sides, if there is
+    a cheaper way to them than through the two sides.
     """
     others = [c for c in targets.columns if c not in (*keys, TIME, ORDINAL)]
     hit = F.struct(_q(ORDINAL).alias("ordinal"), _q(TIME).alias("time_ns"))
@@ -181,7 +183,7 @@ def latest_at_frames(
     both = shown.unionByName(asked, allowMissingColumns=True).where(_q(TIME).isNotNull())
 
     # Frames sort before targets of the same time, so no tie can reach past a row.
-    chunks = plan_chunks(both, keys, [TIME, "_side", ORDINAL], rows_per_chunk=rows_per_chunk)
+    chunks = plan_chunks(both, keys, [TIME, "_side", ORDINAL], counted=counted, rows_per_chunk=rows_per_chunk)
     order = Window.partitionBy(*chunks.partition).orderBy(TIME, "_side", ORDINAL)
     until_now = order.rowsBetween(Window.unboundedPreceding, 0)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -106,7 +106,9 @@ def camera_align(
     asked, shown = parts[0]
     if len(parts) == 2:
         asked, shown = asked.unionByName(parts[1][0]), shown.unionByName(parts[1][1])
-    return latest_at_frames(asked, shown, [SEGMENT, CAMERA], rows_per_chunk=rows_per_chunk)
+    # Moving times does not change how many rows a camera has.
+    keys = ask(wanted.select(SEGMENT), camera_keys).unionByName(frames.select(SEGMENT, CAMERA))
+    return latest_at_frames(asked, shown, [SEGMENT, CAMERA], counted=keys, rows_per_chunk=rows_per_chunk)
 
 
 def frame_pick(aligned: DataFrame, cameras: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.operators.align import ORDINAL, TIME
-from framewright.operators.scans import ROWS_PER_CHUNK, Chunks, plan_chunks, previous_value, running_total
+from framewright.operators.scans import CHUNK, ROWS_PER_CHUNK, Chunks, plan_chunks, previous_value, with_chunk
 from framewright.session import stage
 
 
@@ -46,16 +46,33 @@ def exact_median(
     if not small_groups:
         counted = stage(counted, "counted")
         chunks = plan_chunks(counted, keys, [value], rows_per_chunk=rows_per_chunk)
-    upto = running_total(counted, F.col("_n"), "_upto", chunks)
-    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = upto.join(totals, list(keys))
+
+    group = Window.partitionBy(*keys)
     low = F.call_function("div", F.col("_total") + F.lit(1), F.lit(2))
     high = F.call_function("div", F.col("_total") + F.lit(2), F.lit(2))
-    covers_low = (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < low)
-    covers_high = (F.col("_upto") >= high) & (F.col("_upto") - F.col("_n") < high)
-    middle = ranked.where(covers_low | covers_high).groupBy(*keys)
+    if chunks.split:
+        # One row per chunk tells which one or two chunks the middle lies in; only those are scanned.
+        marked = with_chunk(counted, chunks)
+        sums = marked.groupBy(*chunks.partition).agg(F.sum("_n").alias("_sum"))
+        earlier = group.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        placed = sums.select(
+            *chunks.partition,
+            "_sum",
+            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_sum").over(group).alias("_total"),
+        )
+        placed = placed.where((F.col("_before") < high) & (F.col("_before") + F.col("_sum") >= low)).drop("_sum")
+        rows = marked.join(placed, chunks.partition)
+    else:
+        rows = counted.withColumn(CHUNK, F.lit(0)).withColumn("_before", F.lit(0))
+        rows = rows.withColumn("_total", F.sum("_n").over(group))
+    until_now = Window.partitionBy(*chunks.partition).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("_before") + F.sum("_n").over(until_now)
+    ranked = rows.withColumn("_upto", upto)
+    first = F.col("_upto") - F.col("_n")
+    middle = ranked.where((F.col("_upto") >= low) & (first < low) | (F.col("_upto") >= high) & (first < high))
     # One or two rows per group are left.
-    return middle.agg(((F.min(value) + F.max(value)) / F.lit(2.0)).alias(name))
+    return middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / F.lit(2.0)).alias(name))
 
 
 def source_fps(

@@ -47,16 +47,22 @@ def _position(order: Sequence[str]) -> Column:
 
 
 def plan_chunks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    *,
+    counted: DataFrame | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> Chunks:
     """Find the groups above ``rows_per_chunk`` and cut them at sampled positions.
 
     ``order`` must be unique within a group. Runs one counting job; large groups cost
     one more pass over their keys. The bounds hold about one entry per
     ``rows_per_chunk`` rows and are staged, so they never pass through the driver.
+    ``counted`` is a table with the same groups that is cheaper to count than ``df``.
     """
     keys, order = tuple(keys), tuple(order)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     large = sizes.where(F.col("_rows") > rows_per_chunk).drop("_rows")
     if large.isEmpty():
         return Chunks(keys, order)
