@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framewright.session import stage
 
@@ -22,20 +23,26 @@ ROWS_PER_CHUNK = 1_000_000
 SAMPLES_PER_CHUNK = 64
 
 CHUNK = "_chunk"
-_BOUNDS = "_bounds"
 
 
 @dataclass(frozen=True)
 class Chunks:
-    """Where the chunks of large groups begin; ``bounds`` is None when no group is large."""
+    """Where the chunks of large groups begin.
+
+    ``groups`` has one row per large group and ``cells`` one per cell of it; both are None
+    when no group is large. A cell is an even slice of the range of the first order
+    column. It knows how many chunks begin before it and the positions at which chunks
+    begin inside it, usually none or one, so a row finds its chunk with an equi-join.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    bounds: DataFrame | None = None
+    groups: DataFrame | None = None
+    cells: DataFrame | None = None
 
     @property
     def split(self) -> bool:
-        return self.bounds is not None
+        return self.groups is not None
 
     @property
     def partition(self) -> list[str]:
@@ -72,20 +79,44 @@ def plan_chunks(
     sampled = sampled.select(*keys, _position(order).alias("_at"))
     sampled = sampled.join(large, list(keys), "left_semi")
     ranked = sampled.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("_at")))
-    begins = ranked.where(F.col("_rank") % max(1, rows_per_chunk // every) == 0)
-    bounds = begins.groupBy(*keys).agg(F.array_sort(F.collect_list("_at")).alias(_BOUNDS))
-    return Chunks(keys, order, stage(bounds, "chunk-bounds"))
+    begins = stage(ranked.where(F.col("_rank") % max(1, rows_per_chunk // every) == 0), "chunk-begins")
+
+    along = _along(F.col("_at")[order[0]], begins.schema["_at"].dataType[order[0]].dataType)
+    spans = begins.groupBy(*keys).agg(
+        F.min(along).alias("_low"), F.max(along).alias("_high"), F.count(F.lit(1)).cast("int").alias("_cells")
+    )
+    width = F.greatest((F.col("_high") - F.col("_low")) / F.col("_cells"), F.lit(1.0))
+    groups = stage(spans.select(*keys, "_low", width.alias("_width"), "_cells"), "chunk-groups")
+
+    held = begins.join(groups, list(keys)).withColumn("_cell", _cell(along))
+    held = held.groupBy(*keys, "_cell").agg(F.array_sort(F.collect_list("_at")).alias("_begins"))
+    every_cell = groups.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("_cell"))
+    cells = every_cell.join(held, [*keys, "_cell"], "left")
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.when(F.col("_begins").isNull(), 0).otherwise(F.size("_begins"))
+    cells = cells.withColumn("_base", F.coalesce(F.sum(inside).over(earlier), F.lit(0)).cast("int"))
+    return Chunks(keys, order, groups, stage(cells, "chunk-cells"))
+
+
+def _along(first: Column, kind: T.DataType) -> Column:
+    """A number that never falls when the first order column rises."""
+    return first.cast("double") if isinstance(kind, T.NumericType) else F.lit(0.0)
+
 
+def _cell(along: Column) -> Column:
+    place = F.floor((along - F.col("_low")) / F.col("_width"))
+    return F.greatest(F.least(place, (F.col("_cells") - 1).cast("long")), F.lit(0).cast("long")).cast("int")
 
-def _bounds_at_or_before(bounds: Column, at: Column) -> Column:
-    # Halving search: the number of bounds not after the row's position.
-    steps = F.ceil(F.log2(F.size(bounds) + F.lit(1))).cast("int")
-    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+
+def _begun(begins: Column, at: Column) -> Column:
+    """How many of the sorted positions are not after ``at``, by halving."""
+    steps = F.ceil(F.log2(F.size(begins) + F.lit(1))).cast("int")
+    start = F.struct(F.lit(0).alias("low"), F.size(begins).alias("high"))
 
     def halve(span: Column, _: Column) -> Column:
         low, high = span["low"], span["high"]
         middle = F.shiftright(low + high, 1)
-        after = F.get(bounds, middle) <= at
+        after = F.get(begins, middle) <= at
         halved = F.struct(
             F.when(after, middle + F.lit(1)).otherwise(low).alias("low"),
             F.when(after, high).otherwise(middle).alias("high"),
@@ -95,29 +126,31 @@ def _bounds_at_or_before(bounds: Column, at: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), steps), start, halve, lambda span: span["low"])
 
 
-def with_chunk(df: DataFrame, chunks: Chunks) -> DataFrame:
-    """Add the chunk number of every row; 0 for groups that were not cut."""
-    if not chunks.split:
-        return df.withColumn(CHUNK, F.lit(0))
-    marked = _with_bounds(df, chunks)
-    return marked.withColumn(CHUNK, _chunk_of(chunks)).drop(_BOUNDS)
-
+def _find_chunk(df: DataFrame, chunks: Chunks, how: str) -> DataFrame:
+    # No broadcast hints: both tables are written and of known size. Spark broadcasts
+    # them below its threshold; above it the cells spread a large group by themselves.
+    kind = df.schema[chunks.order[0]].dataType
+    located = df.join(chunks.groups, list(chunks.keys), how)
+    located = located.withColumn("_cell", _cell(_along(F.col(f"`{chunks.order[0]}`"), kind)))
+    located = located.join(chunks.cells, [*chunks.keys, "_cell"], how)
+    begins, at = F.col("_begins"), _position(chunks.order)
+    inside = (
+        F.when(begins.isNull(), 0)
+        .when(F.size(begins) == 1, (F.get(begins, F.lit(0)) <= at).cast("int"))
+        .otherwise(_begun(begins, at))
+    )
+    found = located.withColumn(CHUNK, F.coalesce(F.col("_base") + inside, F.lit(0)))
+    return found.drop("_low", "_width", "_cells", "_cell", "_begins", "_base")
 
-def _with_bounds(df: DataFrame, chunks: Chunks) -> DataFrame:
-    # No broadcast hint: the bounds are a written table of known size, so Spark
-    # broadcasts them below its threshold and otherwise joins with skew splitting.
-    return df.join(chunks.bounds, list(chunks.keys), "left")
 
-
-def _chunk_of(chunks: Chunks) -> Column:
-    found = _bounds_at_or_before(F.col(_BOUNDS), _position(chunks.order))
-    return F.when(F.col(_BOUNDS).isNotNull(), found).otherwise(0)
+def with_chunk(df: DataFrame, chunks: Chunks) -> DataFrame:
+    """Add the chunk number of every row; 0 for groups that were not cut."""
+    return _find_chunk(df, chunks, "left") if chunks.split else df.withColumn(CHUNK, F.lit(0))
 
 
 def only_split_groups(df: DataFrame, chunks: Chunks) -> DataFrame:
     """Rows of the groups that were cut, with their chunk number."""
-    marked = _with_bounds(df, chunks).where(F.col(_BOUNDS).isNotNull())
-    return marked.withColumn(CHUNK, _chunk_of(chunks)).drop(_BOUNDS)
+    return _find_chunk(df, chunks, "inner")
 
 
 def spread(df: DataFrame, chunks: Chunks) -> DataFrame:

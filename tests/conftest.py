@@ -14,9 +14,11 @@ from framewright import configure  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("framewright-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        # Leaves out the capture of Python call sites, which takes longer than small jobs.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
