@@ -267,6 +267,21 @@ def packet_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return cameras.packet_manifest(camera_table(spark, sf)).select(*KEYS, ORDINAL, "packet_index", "pts_ns")
 
 
+@query(
+    f"""with {FAST}, st as (select segment_id, camera_key, arg_min(time_ns, ordinal) f from fast group by 1, 2)
+ select segment_id, camera_key, ordinal, time_ns - f pts_ns, octet_length(encode(props)) + case when k < 10 then 7 when k < 20 then 4 when k < 25 then 2 else 8 end bytes
+ from fast join dc using (segment_id, camera_key) join st using (segment_id, camera_key) join (select segment_id, camera_key, ordinal, k, props from cam) using (segment_id, camera_key, ordinal)
+ where near and camera_key = 'front'"""
+)
+def copied_packets(spark: SparkSession, sf: str) -> DataFrame:
+    """Packets of the video cameras whose rate is near the target."""
+    rows = fast_cameras(spark, sf)
+    found = rates.source_fps(rows, KEYS).where("camera_key = 'front'")
+    near = found.where(rates.copy_decision(F.col("source_fps"), F.col("samples"), 10)).select(*KEYS)
+    packets = cameras.copied_packets(rows, near)
+    return packets.select(*KEYS, ORDINAL, "pts_ns", F.octet_length("sample").cast("long").alias("bytes"))
+
+
 TARGETS = f"""{CAM}, tg as (select segment_id, ordinal, time_ns, row_number() over (partition by segment_id order by time_ns, ordinal) - 1 frame_index
  from ev where event_type='click')"""
 

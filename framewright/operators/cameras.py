@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from framewright.functions import images, names, rules
 from framewright.operators.align import ORDINAL, SEGMENT, TIME, latest_at_frames, rebase
 from framewright.operators.scans import ROWS_PER_CHUNK, number_rows, plan_chunks
+from framewright.session import stage
 
 CAMERA = "camera_key"
 
@@ -121,8 +122,7 @@ def frame_pick(aligned: DataFrame, cameras: DataFrame) -> DataFrame:
 def packet_manifest(cameras: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Packets of every camera in stored order, with times counted from the first packet.
 
-    The order and the times are worked out without the bytes; join the bytes on
-    (segment_id, camera_key, ordinal) when the packets are written.
+    The order and the times are worked out without the bytes.
     """
     keys = [SEGMENT, CAMERA]
     packets = cameras.where(F.col("sample").isNotNull()).select(*keys, ORDINAL, TIME)
@@ -131,6 +131,21 @@ def packet_manifest(cameras: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK)
     return rebase(numbered, keys, by_stored_order=True).withColumnRenamed(TIME, "pts_ns")
 
 
+def copied_packets(cameras: DataFrame, copied: DataFrame) -> DataFrame:
+    """Packets of the cameras in ``copied`` with their bytes, times counted from the first packet.
+
+    The start of a camera is one row, so while these rows can be broadcast the bytes are
+    written where they are read. Within a file packets stand in stored order.
+    """
+    keys = [SEGMENT, CAMERA]
+    packets = cameras.where(F.col("sample").isNotNull())
+    starts = packets.groupBy(*keys).agg(F.min_by(TIME, ORDINAL).alias("_start"))
+    placed = stage(copied.join(starts, keys), "packet-starts")
+    rows = packets.select(*keys, ORDINAL, TIME, "sample").join(placed, keys)
+    rows = rows.withColumn("pts_ns", F.col(TIME) - F.col("_start")).drop(TIME, "_start")
+    return rows.sortWithinPartitions(*keys, ORDINAL)
+
+
 def decode_raw(cameras: DataFrame) -> DataFrame:
     """Raw camera rows as RGB frames, with the reason where a buffer cannot be read.
 

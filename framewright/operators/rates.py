@@ -103,15 +103,17 @@ def episode_video_plan(rates: DataFrame, resolved: DataFrame, fps: int, *, segme
     ``resolved`` holds one row per camera of the configuration. ``copy_all`` marks
     episodes in which no frame has to be decoded at all.
     """
-    cameras = resolved.select("camera_key", "can_copy", "output_format", "feature_dtype")
+    everyone = Window.partitionBy(F.lit(0))
+    cameras = resolved.select(
+        "camera_key", "can_copy", "output_format", "feature_dtype", F.count(F.lit(1)).over(everyone).alias("_cameras")
+    )
     rows = rates.join(cameras, ["camera_key"])
     rows = rows.withColumn("copies", F.col("can_copy") & copy_decision(F.col("source_fps"), F.col("samples"), fps))
     mode = F.when(F.col("copies"), "copy").when(F.col("feature_dtype") == "image", "image").otherwise("encode")
     # An episode must hold every camera of the configuration to be copied as a whole.
-    wanted = resolved.agg(F.count(F.lit(1)).alias("_cameras"))
-    whole = rows.groupBy(segment).agg(F.bool_and("copies").alias("_all"), F.count(F.lit(1)).alias("_held"))
-    whole = whole.join(wanted, F.col("_held") == F.col("_cameras"), "left")
-    whole = whole.select(segment, (F.col("_all") & F.col("_cameras").isNotNull()).alias("copy_all"))
-    return rows.join(whole, [segment]).select(
-        segment, "camera_key", "samples", "source_fps", "output_format", mode.alias("mode"), "copy_all"
+    episode = Window.partitionBy(segment)
+    held = F.count(F.lit(1)).over(episode)
+    whole = F.bool_and("copies").over(episode) & (held == F.col("_cameras"))
+    return rows.select(
+        segment, "camera_key", "samples", "source_fps", "output_format", mode.alias("mode"), whole.alias("copy_all")
     )

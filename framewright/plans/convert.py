@@ -260,9 +260,9 @@ def write_dataset(dataset: Dataset, path: str) -> None:
     if dataset.camera_plan is not None:
         sinks.write_table(dataset.camera_plan, path, "meta/cameras")
         sinks.write_table(dataset.camera_frames, path, "meta/camera_frames")
-        blobs = dataset.cameras.select(SEGMENT, cam.CAMERA, ORDINAL, "sample")
-        packets = dataset.packets.join(blobs, [SEGMENT, cam.CAMERA, ORDINAL])
-        sinks.write_table(packets, path, "videos/packets")
+        sinks.write_table(dataset.packets, path, "videos/manifest")
+        copied = dataset.camera_plan.where(F.col("mode") == "copy").select(SEGMENT, cam.CAMERA, "episode_index")
+        sinks.write_table(cam.copied_packets(dataset.cameras, copied), path, "videos/packets")
         # Copied cameras keep their packets; the others need the frames some row uses.
         decoded = dataset.camera_plan.where(F.col("mode") != "copy").select(SEGMENT, cam.CAMERA)
         used = dataset.camera_frames.join(decoded, [SEGMENT, cam.CAMERA], "left_semi")
