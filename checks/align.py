@@ -375,6 +375,17 @@ def time_grid(spark: SparkSession, sf: str) -> DataFrame:
     return align.time_grid(ranges, 10)
 
 
+@query(
+    """with r as (select cast(user_id as varchar) segment_id, min(value) lo, max(value) hi from events group by 1),
+ g as (select segment_id, lo, unnest(range(0, cast(greatest(ceil((hi - lo) * 4.0), 1) as bigint))) i from r)
+ select segment_id, i grid_index, round(lo + i / 4.0, 6) time_s from g"""
+)
+def time_grid_seconds(spark: SparkSession, sf: str) -> DataFrame:
+    """The values of every segment taken as seconds."""
+    ranges = t.events(spark, sf).groupBy(SEGMENT).agg(F.min("value").alias("min_s"), F.max("value").alias("max_s"))
+    return align.time_grid_seconds(ranges, 4).select(SEGMENT, "grid_index", F.round("time_s", 6).alias("time_s"))
+
+
 RESAMPLED = f"""with {t.rec_sql()}, dv as (select segment_id, ordinal, time_ns // 86400 time_ns, s, g from rec where s is not null or g is not null),
  r as (select segment_id, min(time_ns) lo, max(time_ns) hi from dv group by segment_id),
  grid as (select segment_id, unnest(range(lo, greatest(hi, lo + 1), 500000000)) time_ns from r),

@@ -66,7 +66,6 @@ def grid_size_ns(start: Column, stop: Column, fps: int) -> Column:
     return F.call_function("div", span, step) + F.lit(1)
 
 
-def grid_seconds(start: Column, stop: Column, fps: int) -> Column:
-    """The float grid: start, start + 1/fps, ... below stop, as an array."""
-    points = F.greatest(F.ceil((stop - start) * F.lit(float(fps))), F.lit(1)).cast("int")
-    return F.transform(F.sequence(F.lit(0), points - F.lit(1)), lambda i: start + i / F.lit(float(fps)))
+def grid_size_seconds(start: Column, stop: Column, fps: int) -> Column:
+    """Number of points of the same grid in float seconds."""
+    return F.greatest(F.ceil((stop - start) * F.lit(float(fps))), F.lit(1).cast("long"))

@@ -229,21 +229,35 @@ def rebase(df: DataFrame, keys: Sequence[str], *, by_stored_order: bool = False)
 GRID_BLOCK = 65_536
 
 
-def time_grid(ranges: DataFrame, fps: int, *, keys: Sequence[str] = (SEGMENT,)) -> DataFrame:
-    """Half-open nanosecond grid from ``min_ns`` to ``max_ns`` of every row at ``fps``.
+def _grid_points(ranges: DataFrame, keys: Sequence[str], start: str, points: Column) -> DataFrame:
+    """Numbers 0, 1, ... below ``points`` for every row, beside its ``start``.
 
     Long grids are made in blocks that are spread over the cluster before they are
     filled, so no row ever holds a whole grid.
     """
-    step = F.lit(times.grid_step_ns(fps)).cast("long")
-    sized = ranges.select(*keys, "min_ns", times.grid_size_ns(F.col("min_ns"), F.col("max_ns"), fps).alias("_points"))
+    sized = ranges.select(*keys, start, points.alias("_points"))
     last_block = F.call_function("div", F.col("_points") - F.lit(1), F.lit(GRID_BLOCK))
     blocks = sized.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
     blocks = blocks.repartition(*keys, "_block")
     begin = F.col("_block") * F.lit(GRID_BLOCK)
     end = F.least(begin + F.lit(GRID_BLOCK), F.col("_points")) - F.lit(1)
-    points = blocks.withColumn("grid_index", F.explode(F.sequence(begin, end)))
-    return points.select(*keys, "grid_index", (F.col("min_ns") + F.col("grid_index") * step).alias(TIME))
+    return blocks.withColumn("grid_index", F.explode(F.sequence(begin, end))).drop("_block", "_points")
+
+
+def time_grid(ranges: DataFrame, fps: int, *, keys: Sequence[str] = (SEGMENT,)) -> DataFrame:
+    """Half-open nanosecond grid from ``min_ns`` to ``max_ns`` of every row at ``fps``."""
+    points = times.grid_size_ns(F.col("min_ns"), F.col("max_ns"), fps)
+    step = F.lit(times.grid_step_ns(fps)).cast("long")
+    numbered = _grid_points(ranges, keys, "min_ns", points)
+    return numbered.select(*keys, "grid_index", (F.col("min_ns") + F.col("grid_index") * step).alias(TIME))
+
+
+def time_grid_seconds(ranges: DataFrame, fps: int, *, keys: Sequence[str] = (SEGMENT,)) -> DataFrame:
+    """The same grid from ``min_s`` to ``max_s`` in float seconds."""
+    points = times.grid_size_seconds(F.col("min_s"), F.col("max_s"), fps)
+    numbered = _grid_points(ranges, keys, "min_s", points)
+    at = F.col("min_s") + F.col("grid_index") / F.lit(float(fps))
+    return numbered.select(*keys, "grid_index", at.alias("time_s"))
 
 
 GRID_MARK = "_grid"

@@ -118,9 +118,9 @@ def test_wall_clock_ignores_the_session_zone(spark):
 
 
 def test_grids(spark):
-    df = spark.sql("select 0D a, 1D b, 1D c")
-    assert one(df, times.grid_seconds(F.col("a"), F.col("b"), 4)) == [0.0, 0.25, 0.5, 0.75]
-    assert one(df, times.grid_seconds(F.col("b"), F.col("c"), 4)) == [1.0]
+    df = spark.sql("select 'a' k, 0D min_s, 1D max_s union all select 'b', 1D, 1D")
+    got = [(r.k, r.time_s) for r in align.time_grid_seconds(df, 4, keys=["k"]).orderBy("k", "grid_index").collect()]
+    assert got == [("a", 0.0), ("a", 0.25), ("a", 0.5), ("a", 0.75), ("b", 1.0)]
     far = spark.sql("select 0L a, 9000000000000000001L b")
     assert one(far, times.grid_size_ns(F.col("a"), F.col("b"), 1_000_000_000)) == 9000000000000000001
 
