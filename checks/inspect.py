@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import tables as t
 from checks.align import LOG, log
-from checks.tables import EV, query
+from checks.tables import query
 from framewright.functions import names
 from framewright.operators import inspect
 from framewright.operators.align import ORDINAL, SEGMENT, TIME

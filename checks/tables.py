@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from framewright import ConversionConfig, configure
 from framewright.functions import times
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
-from framewright.operators.scans import CHUNK  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
