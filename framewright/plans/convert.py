@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,10 +234,10 @@ def _with_cameras(
 
 
 def refuse_existing(spark: SparkSession, path: str) -> None:
-    """Raise when ``path`` already holds a dataset."""
+    """Raise when ``path`` exists, also when an earlier run has left only part of a dataset."""
     try:
-        spark.read.text(f"{path}/meta/info").limit(1).collect()
-    except Exception as missing:  # noqa: BLE001 - any reader error means there is nothing to read
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing):
             return
         raise

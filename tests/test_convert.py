@@ -109,6 +109,14 @@ def test_written_dataset(spark, recording, tmp_path):
     assert spark.read.parquet(str(tmp_path / "again/data")).count() == 6
 
 
+def test_a_partial_output_is_refused(spark, recording, tmp_path):
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    recording.write.parquet(source)
+    out.mkdir()
+    with pytest.raises(ValueError, match="exists"):
+        convert_directory(spark, source, str(out), CONFIG)
+
+
 def test_missing_directory_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         rec.read_recordings(spark, str(tmp_path / "nowhere"))
