@@ -44,7 +44,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/framewright/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back, which cuts the lineage.
 
     A written table survives the loss of executors, keeps column pruning and gives
@@ -52,5 +52,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
