@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import ans, packing, sharding
+from framewright.llm import ans, lines, packing, sharding, simhash, urls
 from framewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,62 @@ from chosen"""
 def op5_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), EIGHT, grown=NINE)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query()
+def op3_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query()
+def op7_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    labels = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), labels, RULES)
+
+
+@query(
+    r"""
+with t as (select doc_id, coalesce('h' || source, '') as name, coalesce(text, '') as c from documents),
+w as (select *, list_filter(string_split_regex(c, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws, substr(md5(c), 1, 15) as h from t),
+windows as (select doc_id, h, unnest(range(1, len(ws) - 3)) as p, ws from w),
+hashed as (select doc_id, h, p, list_aggregate(ws[p : p + 4], 'string_agg', ' ') as g from windows),
+twice as (select doc_id, h, p from hashed qualify count(*) over (partition by doc_id, h, g) > 1),
+repeats as (
+    select doc_id, h, sum(least(5, p - coalesce(before, -5))) as n
+    from (select *, lag(p) over (partition by doc_id, h order by p) as before from twice) group by all
+),
+texts as (select distinct name, h, c from w),
+lines as (
+    select name, h, substr(md5(l), 1, 15) as line, sum(len(string_split(l, ' '))) as words
+    from (select name, h, trim(unnest(string_split(lower(regexp_replace(c, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10))), ' ') as l from texts)
+    where l <> '' group by all
+),
+sizes as (select name, count(*) as texts from texts group by name),
+often as (
+    select name, line, min(h) as first from lines join sizes using (name) group by name, line
+    having count(*) > 20 and count(*) > 0.005 * max(texts)
+),
+gone as (select name, h, sum(words) as removed from lines join often using (name, line) where h <> first group by all),
+base as (
+    select doc_id, name, h, len(ws)::bigint as n_words,
+        length(list_aggregate(ws, 'string_agg', ''))::bigint as word_chars,
+        length(regexp_replace(c, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
+        (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words
+    from (select *, list_filter(string_split(c, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from w)
+    left join repeats using (doc_id, h)
+)
+select doc_id, n_words, coalesce(word_chars, 0) as word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    coalesce(removed, 0)::bigint as removed_words,
+    not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and coalesce(removed, 0) <= 0.5 * n_words as kept
+from base left join gone using (name, h)"""
+)
+def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_rules(table(spark, sf_dir, "documents")).drop("source")
