@@ -24,7 +24,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framewright.llm.texts import encoder, slices
 from framewright.session import stage
@@ -204,11 +203,15 @@ def read_tokens(spark: SparkSession, path: str, *, key: str = "doc_id") -> DataF
     32-bit integers. A block whose checksums differ raises.
     """
     table = spark.read.parquet(f"{path}/table").orderBy("token").toPandas()
-    shared = spark.sparkContext.broadcast((table["token"].to_numpy(np.int64), table["frequency"].to_numpy(np.int64)))
     blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
+    # one row per task of the write, however long the parts are
+    sizes = blocks.groupBy("part").agg(F.sum("n_tokens").alias("own")).orderBy("part").toPandas()
+    before = dict(zip(sizes["part"], (sizes["own"].cumsum() - sizes["own"]).tolist()))
+    shared = spark.sparkContext.broadcast((table["token"].to_numpy(np.int64), table["frequency"].to_numpy(np.int64), before))
 
     def decode(batches):
-        coder = Coder(*shared.value)
+        tokens, freq, before = shared.value
+        coder = Coder(tokens, freq)
         for batch in batches:
             for row in batch.to_pylist():
                 if zlib.crc32(row["stream"]) != row["stream_crc32"]:
@@ -222,13 +225,8 @@ def read_tokens(spark: SparkSession, path: str, *, key: str = "doc_id") -> DataF
                 starts = ends - sizes
                 own = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.append(0, 4 * ends).astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array([row["part"]] * len(sizes), pa.int64()),
-                     pa.array(row["first"] + starts), pa.array(sizes), own],
-                    names=["key", "part", "within", "n_tokens", "ids"],
-                )
-
-    found = blocks.mapInArrow(decode, "key long, part long, within long, n_tokens long, ids binary")
-    # one row per part, however long the parts are
-    sizes = blocks.groupBy("part").agg(F.sum("n_tokens").alias("own"))
-    before = sizes.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("before"))
-    return found.join(before, "part").select(F.col("key").alias(key), (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids")
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(before[row["part"]] + row["first"] + starts), pa.array(sizes), own],
+                    names=[key, "start", "n_tokens", "ids"],
+                )
+
+    return blocks.mapInArrow(decode, f"`{key}` long, start long, n_tokens long, ids binary")
