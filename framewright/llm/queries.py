@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import ans, lines, packing, sharding, simhash, urls
+from framewright.llm import ans, decontam, lines, packing, secrets, sharding, simhash, urls
 from framewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,22 @@ from base left join gone using (name, h)"""
 )
 def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_rules(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query()
+def op6_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, secrets.train(docs)).drop("text")
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("secrets", lambda s: s["kind"] != "field")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("secrets")).alias("spans")
+    )
