@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import ans, decontam, lines, packing, secrets, sharding, simhash, urls
+from framewright.llm import ans, decontam, lines, packing, secrets, sharding, simhash, toxicity, urls
 from framewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,12 @@ def op10_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("secrets")).alias("spans")
     )
+
+
+@query()
+def op9_nearest_toxic_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    remainder = lambda: F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    index = toxicity.train(docs, labels.where(remainder() != 1))
+    scored = toxicity.score(docs, index)
+    return scored.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score", "predicted", "evidence")
