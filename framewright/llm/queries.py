@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import ans, decontam, lines, packing, secrets, sharding, simhash, toxicity, urls
+from framewright.llm import ans, decontam, lines, ngrams, packing, secrets, sharding, simhash, toxicity, urls
 from framewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,13 @@ def op9_nearest_toxic_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = toxicity.train(docs, labels.where(remainder() != 1))
     scored = toxicity.score(docs, index)
     return scored.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score", "predicted", "evidence")
+
+
+@query()
+def op4_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10))
+    model = ngrams.train(docs.where(F.coalesce(remainder != 0, F.lit(True))))
+    scored = ngrams.score(docs, model)
+    held = F.coalesce(remainder == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
