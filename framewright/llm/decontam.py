@@ -6,6 +6,7 @@ diagonals (place in the document less place in the pattern) differ by at most e.
 are counted in overlapping bands of diagonals, wide enough that one band holds every such
 match; bands that reach the bound are verified by alignment within the band.
 
+Texts in which too few known q-grams lie close together for any match are passed over at once.
 Documents are read where they lie, without a shuffle. The benchmark goes to the workers in
 blocks of bounded size, one pass over the documents for each.
 """
@@ -91,18 +92,41 @@ class Patterns:
         if not len(n):
             return none, none, none
         post = np.repeat(self.first[known] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        pattern = self.pattern[post]
-        diagonal = np.repeat(at, n) - self.place[post] + (1 << 20)
+        pattern, place = self.pattern[post], self.place[post]
+        diagonal = np.repeat(at, n) - place + (1 << 20)
         band = diagonal // self.width
         # a band reaches ``allowed`` diagonals into the next one
         early = diagonal % self.width < self.allowed[pattern]
         key = np.concatenate([pattern << 40 | band, pattern[early] << 40 | (band[early] - 1)])
-        key, shared = np.unique(key, return_counts=True)
+        # a pattern's q-gram counts once in a band, however often a text repeats it
+        order = np.lexsort((np.concatenate([place, place[early]]), key))
+        key, place = key[order], np.concatenate([place, place[early]])[order]
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1])])
+        key, shared = np.unique(key[fresh], return_counts=True)
         pattern, band = key >> 40, key & (1 << 40) - 1
         full = shared >= self.bound[pattern]
         pattern, low = pattern[full], band[full] * self.width - (1 << 20)
         return pattern, low, low + self.width - 1 + self.allowed[pattern]
 
+    def dense(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Texts that may hold a match: as many places with a known q-gram as the least bound, so
+        close together as one match lies. The whole buffer is looked at once."""
+        if not len(self.code):
+            return np.zeros(0, np.int64)
+        code = grams(data, self.q)
+        at = np.flatnonzero(self.table[self._slot(code)])
+        known = np.minimum(np.searchsorted(self.code, code[at]), len(self.code) - 1)
+        at = at[self.code[known] == code[at]]
+        text = np.searchsorted(offsets, at, side="right") - 1
+        inside = at + self.q <= offsets[text + 1]
+        at, text = at[inside], text[inside]
+        need = int(self.bound.min()) - 1
+        if len(at) <= need:
+            return np.zeros(0, np.int64)
+        reach = int((self.size + self.allowed).max()) - self.q
+        close = (at[need:] - at[: len(at) - need] <= reach) & (text[need:] == text[: len(text) - need])
+        return np.unique(text[need:][close])
+
     def align(self, data: np.ndarray, pattern: int, low: int, high: int) -> tuple[int, int, int] | None:
         """Edits, start and end of the best match that stays on the diagonals low to high."""
         text, most = self.text[pattern], int(self.allowed[pattern])
@@ -160,7 +184,7 @@ def _blocks(benchmark: DataFrame, item: str, text: str, **options):
 
 
 def passages(
-    docs: DataFrame, benchmark: DataFrame, *, q: int = 6, length: int = 60, edits_in: int = 12, key: str = "doc_id", text: str = "text", item: str = "item_id"
+    docs: DataFrame, benchmark: DataFrame, *, q: int = 8, length: int = 60, edits_in: int = 12, key: str = "doc_id", text: str = "text", item: str = "item_id"
 ) -> DataFrame:
     """``key, item, n_patterns, least_edits, start_byte, end_byte``: items found in documents.
 
@@ -182,7 +206,7 @@ def passages(
                 data, offsets = buffer_of(part.column("text"))
                 data = _PLAIN[data]
                 out, row = [], []
-                for i in range(part.num_rows):
+                for i in shared.value.dense(data, offsets).tolist():
                     found = shared.value.matches(data[offsets[i] : offsets[i + 1]])
                     for name in sorted({f[0] for f in found}, key=str):
                         own = [f[1:] for f in found if f[0] == name]
@@ -197,7 +221,7 @@ def passages(
     return reduce(DataFrame.unionByName, found).withColumnsRenamed({"key": key, "item": item})
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, q: int = 6, length: int = 60, edits_in: int = 12, text: str = "text", item: str = "item_id") -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, q: int = 8, length: int = 60, edits_in: int = 12, text: str = "text", item: str = "item_id") -> DataFrame:
     """Documents without any passage of the benchmark; columns and order of columns stay."""
 
     def clean(shared):
@@ -205,7 +229,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, q: int = 6, leng
             for part in slices(batches, text):
                 data, offsets = buffer_of(part.column(text))
                 data = _PLAIN[data]
-                keep = [not shared.value.matches(data[offsets[i] : offsets[i + 1]]) for i in range(part.num_rows)]
+                keep = np.ones(part.num_rows, bool)
+                for i in shared.value.dense(data, offsets).tolist():
+                    keep[i] = not shared.value.matches(data[offsets[i] : offsets[i + 1]])
                 yield part.filter(pa.array(keep))
 
         return run
