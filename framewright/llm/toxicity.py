@@ -137,6 +137,7 @@ def train(
     clean: int = 12000,
     vocabulary: int = 4000,
     z: float = 5.0,
+    lift: float = 3.0,
     calibrate: int = 3000,
     k: int = 25,
     key: str = "doc_id",
@@ -145,7 +146,8 @@ def train(
     """An index from at most ``toxic`` and ``clean`` labelled documents of each class, those of least
     key hash. ``labels`` has key and toxic (0 or 1); a key of several labels takes the largest.
 
-    At most ``vocabulary`` terms are chosen, by the difference of the classes in standard errors.
+    At most ``vocabulary`` terms are chosen, by the difference of the classes in standard errors, of
+    those ``lift`` times as frequent among toxic examples.
     """
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("key"), F.col("toxic").cast("int").alias("label")).dropna().groupBy("key").agg(F.max("label").alias("label"))
@@ -175,7 +177,8 @@ def train(
     pooled = (F.col("toxic") + F.col("clean")) / float(n1 + n0)
     error = F.sqrt(pooled * (1 - pooled) * (1.0 / n1 + 1.0 / n0)) + 1e-9
     gap = ((F.col("toxic") / float(n1) - F.col("clean") / float(n0)) / error).alias("gap")
-    ranked = counts.where("toxic >= 3 and term <> ''").select("term", gap).where(F.col("gap") > z).orderBy(F.desc("gap"), "term").limit(vocabulary)
+    often = F.col("toxic") / float(n1) >= lift * (F.col("clean") + 0.5) / float(n0)
+    ranked = counts.where(often & (F.col("toxic") >= 3) & (F.col("term") != "")).select("term", gap).where(F.col("gap") > z).orderBy(F.desc("gap"), "term").limit(vocabulary)
     terms = sorted(r.term for r in ranked.collect())
     shared = spark.sparkContext.broadcast(terms)
 
