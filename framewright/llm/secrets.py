@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewright.llm.texts import slices, words_of
+from framewright.session import stage
 
 # The patterns that count as secrets, in the order in which they are listed.
 PATTERNS = {
@@ -212,9 +213,14 @@ def train(docs: DataFrame, *, sample: int = 1500, reach: int = 8, apart: int = 4
     fixed pattern, and those without."""
     rows = docs.select(F.col(text).cast("string").alias("text"), F.xxhash64(F.col(key), F.length(text)).alias("h")).where("text is not null")
     has = F.col("text").rlike(_MAYBE)
-    chosen = [rows.where(w).orderBy("h", F.length("text")).limit(sample) for w in (has, ~has)]
-    cut = [c.select(F.explode(F.expr("transform(sequence(0, int((length(text) - 1) / 4000)), i -> substring(text, i * 4000 + 1, 4000))")).alias("text")) for c in chosen]
-    found = cut[0].unionByName(cut[1])
+    # the hash up to which documents are taken is found without moving texts
+    narrow = stage(rows.select("h", has.alias("has")), "secret-sample")
+    low = -(1 << 63)
+    tops = [narrow.where(w).orderBy("h").limit(sample).agg(F.coalesce(F.max("h"), F.lit(low))).first()[0] for w in (F.col("has"), ~F.col("has"))]
+    near = rows.where(F.col("h") <= max(tops))
+    chosen = near.where(F.col("h") <= F.when(has, F.lit(tops[0])).otherwise(F.lit(tops[1])))
+    parts = "transform(sequence(0, int((length(text) - 1) / 4000)), i -> substring(text, i * 4000 + 1, 4000))"
+    found = chosen.select(F.explode(F.expr(parts)).alias("text"))
 
     def run(batches):
         import pickle
