@@ -240,6 +240,12 @@ def find(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "tex
     random field finds; those that overlap a fixed one are left out. Null and empty texts have none;
     all columns stay, other columns are not read; repeated rows and null keys stay as they are.
     """
+    schema, run = _finder(docs, field, text)
+    return docs.mapInArrow(run, schema)
+
+
+def _finder(docs: DataFrame, field: Field, text: str):
+    """The schema and the step over batches of `find`."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(docs.schema.fields + [T.StructField("secrets", T.ArrayType(span))])
@@ -248,7 +254,7 @@ def find(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "tex
 
     def run(batches):
         model = shared.value
-        for part in slices(batches, text, 16 << 20):
+        for part in slices(batches, text):
             texts = part.column(text)
             maybe = pc.fill_null(pc.match_substring_regex(texts, _MAYBE), False).to_numpy(zero_copy_only=False)
             words = words_of(texts, lower=False)
@@ -288,16 +294,17 @@ def find(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "tex
                 out[i] = [{"kind": kinds[k], "start": s, "end": e} for s, k, e in sorted(spans)]
             yield pa.RecordBatch.from_arrays(part.columns + [pa.array(out, arrow)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return schema, run
 
 
 def mask_secrets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced by ``mark``; overlapping spans are one."""
-    found = find(docs, train(docs, key=key, text=text), key=key, text=text)
+    _, find_in = _finder(docs, train(docs, key=key, text=text), text)
     names = docs.columns
 
+    # both steps in one worker: two in a row would keep two workers a task
     def run(batches):
-        for part in slices(batches, text):
+        for part in find_in(batches):
             values = part.column(text).to_pylist()
             for i, spans in enumerate(part.column("secrets").to_pylist()):
                 if spans:
@@ -311,4 +318,4 @@ def mask_secrets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ma
             columns = [pa.array(values, pa.string()) if n == text else part.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return found.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -51,6 +51,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    pa.default_memory_pool().release_unused()
 
 
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +120,9 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remember: int = 1_500_000) -> Encoder:
     """The encoder of a vocabulary file; a worker keeps it from task to task."""
-    return Encoder(path)
+    return Encoder(path, remember)
 
 
 class Encoder:
