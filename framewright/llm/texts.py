@@ -7,6 +7,7 @@ tokenised. Memory is bounded by ``SLICE_BYTES`` of text and one row.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -51,7 +52,17 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker waits for its next task with what it holds."""
     pa.default_memory_pool().release_unused()
+    try:
+        trim = ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):  # another C library
+        return
+    trim(0)
 
 
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -169,8 +180,11 @@ class Encoder:
             distinct = encoded.dictionary
             if len(self.seen) + len(distinct) > self.remember:
                 self._clear()
-            self._learn(distinct.filter(pc.invert(pc.is_in(distinct, value_set=self.seen))))
-            place = pc.index_in(distinct, value_set=self.seen).to_numpy(zero_copy_only=False).astype(np.int64)
+            found = pc.index_in(distinct, value_set=self.seen)
+            new = found.is_null()
+            place = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            place[new.to_numpy(zero_copy_only=False)] = len(self.seen) + np.arange(found.null_count)
+            self._learn(distinct.filter(new))
             known = place[encoded.indices.to_numpy(zero_copy_only=False)]
             lengths = self.lengths[known]
         ids = self.ids[spread(self.starts[known], lengths)]

@@ -242,24 +242,8 @@ def score(docs: DataFrame, index: Index, *, k: int = 25, limit: float = 0.7, tex
     schema = T.StructType(fields + more)
 
     def run(batches):
-        model = shared.value
-        vocabulary = pa.array(model.vocabulary, pa.string())
-        toxic, clean = model.none
-        rest = toxic / (toxic + clean) if toxic + clean else 0.0
-        seen: dict[bytes, float] = {}
-        for part in slices(batches, text):
-            row, term, count = _counts(_texts(part.column(text)), vocabulary)
-            ends = np.searchsorted(row, np.arange(part.num_rows + 1))
-            scores = np.full(part.num_rows, rest)
-            for i in np.flatnonzero(np.diff(ends)).tolist():
-                own = slice(ends[i], ends[i + 1])
-                name = term[own].tobytes() + count[own].tobytes()
-                if name not in seen:
-                    if len(seen) > 100_000:
-                        seen.clear()
-                    vector = model.vector(term[own], count[own])
-                    seen[name] = model.score(model.vote(*model.nearest(term[own], vector, k)))
-                scores[i] = seen[name]
+        vocabulary = pa.array(shared.value.vocabulary, pa.string())
+        for part, scores, term, ends in _scored(shared.value, batches, text, k):
             told = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), vocabulary.take(pa.array(term, pa.int64())))
             extra = [pa.array(scores), pa.array((scores >= limit).astype(np.int32)), told]
             yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + extra, names=schema.names)
@@ -267,8 +251,34 @@ def score(docs: DataFrame, index: Index, *, k: int = 25, limit: float = 0.7, tex
     return docs.select(*names).mapInArrow(run, schema)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, *, limit: float = 0.7, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _scored(model: Index, batches, text: str, k: int):
+    """Slices of the batches with the scores of their rows, the terms found and where each row's end."""
+    vocabulary = pa.array(model.vocabulary, pa.string())
+    toxic, clean = model.none
+    rest = toxic / (toxic + clean) if toxic + clean else 0.0
+    seen: dict[bytes, float] = {}
+    for part in slices(batches, text):
+        row, term, count = _counts(_texts(part.column(text)), vocabulary)
+        ends = np.searchsorted(row, np.arange(part.num_rows + 1))
+        scores = np.full(part.num_rows, rest)
+        for i in np.flatnonzero(np.diff(ends)).tolist():
+            own = slice(ends[i], ends[i + 1])
+            name = term[own].tobytes() + count[own].tobytes()
+            if name not in seen:
+                if len(seen) > 100_000:
+                    seen.clear()
+                vector = model.vector(term[own], count[own])
+                seen[name] = model.score(model.vote(*model.nearest(term[own], vector, k)))
+            scores[i] = seen[name]
+        yield part, scores, term, ends
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, limit: float = 0.7, k: int = 25, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents that score below ``limit``; columns and their order stay."""
-    index = train(docs, labels, key=key, text=text)
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
-    return score(plain, index, limit=limit).where("predicted = 0").select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, k=k, key=key, text=text))
+
+    def run(batches):
+        for part, scores, _, _ in _scored(shared.value, batches, text, k):
+            yield part.filter(pa.array(scores < limit))
+
+    return docs.mapInArrow(run, docs.schema)
