@@ -45,6 +45,7 @@ _TELLING = r"(?i)passw|secret|token|api.?key|credential|bearer|auth|private|akia
 
 O, B, I = 0, 1, 2  # noqa: E741
 SHAPE = 7  # features of a word
+FIND_BYTES = 2 << 20  # of text tagged at once; scores of all its tokens take about 30 times that
 WIDE = 112  # numbers that the features of one word can take
 FILE = 6
 
@@ -254,7 +255,7 @@ def _finder(docs: DataFrame, field: Field, text: str):
 
     def run(batches):
         model = shared.value
-        for part in slices(batches, text):
+        for part in slices(batches, text, FIND_BYTES):
             texts = part.column(text)
             maybe = pc.fill_null(pc.match_substring_regex(texts, _MAYBE), False).to_numpy(zero_copy_only=False)
             words = words_of(texts, lower=False)
