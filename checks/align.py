@@ -62,10 +62,35 @@ def latest_at_ties_chunked(spark: SparkSession, sf: str) -> DataFrame:
     return shown(align.latest_at(t.recording(spark, sf, day=True), ALL, A, clamp=False, rows_per_chunk=4))
 
 
-@query("select user_id segment_id, event_id, event_type, value, props from events")
+@query("select user_id segment_id, event_id, epoch_ns(ts) ts, event_type, value, props from events")
 def read_recordings(spark: SparkSession, sf: str) -> DataFrame:
     rows = rec.read_recordings(spark, f"{sf}/events.parquet", segment="user_id")
-    return rows.select(F.col("user_id").alias("segment_id"), "event_id", "event_type", "value", "props")
+    ts = times.normalize_times(rows, "ts").alias("ts")
+    return rows.select(F.col("user_id").alias("segment_id"), "event_id", ts, "event_type", "value", "props")
+
+
+@query("select event_type, user_id, event_id, epoch_ns(ts) ts, value, props from events")
+def read_recordings_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored by segment, and the segment is in the folders' names only."""
+    path = scratch_path(spark, "by-segment")
+    spark.read.parquet(f"{sf}/events.parquet").write.partitionBy("event_type").parquet(path)
+    rows = rec.read_recordings(spark, path, segment="event_type")
+    return rows.select("event_type", "user_id", "event_id", times.normalize_times(rows, "ts").alias("ts"), "value", "props")
+
+
+@query(
+    """select case when event_id % 2 = 0 then 'even' else 'odd' end folder, event_id,
+ case when event_id % 2 = 0 then value end as value, case when event_id % 2 = 1 then props end as props from events"""
+)
+def read_recordings_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two folders whose files have different columns."""
+    path = scratch_path(spark, "mixed")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    even = F.col("event_id") % 2 == 0
+    events.where(even).select("event_id", "value").write.parquet(f"{path}/even")
+    events.where(~even).select("event_id", "props").write.parquet(f"{path}/odd")
+    rows = rec.read_recordings(spark, path)
+    return rows.select(F.substring_index(SEGMENT, "/", 1).alias("folder"), "event_id", "value", "props")
 
 
 @query(f"with {EV} select segment_id, ordinal, time_ns, event_type from ev")

@@ -50,7 +50,7 @@ def image_codec(blob: Column) -> Column:
 
 
 def _big_endian(blob: Column, start: int, length: int) -> Column:
-    return F.conv(_head(blob, start, length), 16, 10).cast("int")
+    return F.conv(_head(blob, start, length), 16, 10).try_cast("int")
 
 
 def png_size(blob: Column) -> Column:
@@ -140,20 +140,28 @@ def rgb_frame(rgb: Column, width: Column, height: Column) -> Column:
     )
 
 
+def _units() -> tuple[list[str], list[str]]:
+    """The first two bytes of HEVC units and the first byte of H.264 units that may open a packet."""
+    # HEVC unit types of slices, of random access pictures, of parameter sets, delimiter and messages.
+    slices, access, sets = (0, 1, 6, 7, 8, 9), range(16, 22), (32, 33, 34, 35, 39, 40)
+    lowest = [f"{2 * t:02X}01" for t in (*slices, *access, *sets)]
+    # Slices of higher temporal layers; type 3 would be the message unit of H.264.
+    higher = [f"{2 * t:02X}{layer:02X}" for t in (0, 1, 2, 4, 5, 6, 7, 8, 9) for layer in range(2, 8)]
+    # H.264 unit types that carry a reference level, and the two that never do.
+    h264 = [f"{32 * level + t:02X}" for level in (1, 2, 3) for t in (1, 5, 7, 8)] + ["01", "06", "09"]
+    return lowest + higher, h264
+
+
 def video_codec_probe(sample: Column, declared: Column | None = None) -> Column:
     """Codec of a video packet from its first unit header, else the declared one, else h264.
 
-    Annex-B streams open with a start code; the byte after it tells H.264 from HEVC.
-    An AV1 stream opens with a temporal delimiter.
+    Annex-B streams open with a start code; the two bytes after it tell H.264 from HEVC.
+    An AV1 stream opens with a temporal delimiter or a sequence header.
     """
     start = F.when(_head(sample, 1, 4) == "00000001", 5).when(_head(sample, 1, 3) == "000001", 4)
     unit = F.hex(F.substring(sample, start, F.lit(2)))
-    first = F.conv(F.substring(unit, 1, 2), 16, 10).cast("int")
-    # HEVC parameter sets, delimiter and prefix message; H.264 unit types.
-    hevc = unit.isin("4001", "4201", "4401", "4601", "4E01")
-    h264 = (first < 128) & F.pmod(first, F.lit(32)).isin(1, 5, 6, 7, 8, 9)
-    found = (
-        F.when(hevc, "hevc").when(h264, "h264").when(_head(sample, 1, 2) == "1200", "av1")
-    )
+    hevc, h264 = _units()
+    av1 = (_head(sample, 1, 2) == "1200") | (_head(sample, 1, 1) == "0A")
+    found = F.when(unit.isin(hevc), "hevc").when(F.substring(unit, 1, 2).isin(h264), "h264").when(av1, "av1")
     fallback = F.lit("h264") if declared is None else F.coalesce(declared, F.lit("h264"))
     return F.coalesce(found, fallback)

@@ -22,7 +22,8 @@ def normalize_times(df: DataFrame, name: str, *, strict_ns: bool = False) -> Col
 
     Integers pass unchanged (nanoseconds or a sequence), floats are seconds and are
     truncated. Timestamps and intervals hold microseconds in Spark and are widened,
-    which is exact; ``strict_ns`` refuses them instead.
+    which is exact; ``strict_ns`` refuses them instead. A time beyond 64 bits of
+    nanoseconds (after the year 2262) is null, as a row without a time.
     """
     column = F.col(f"`{name}`")
     kind = df.schema[name].dataType
@@ -33,15 +34,15 @@ def normalize_times(df: DataFrame, name: str, *, strict_ns: bool = False) -> Col
     if strict_ns:
         raise ValueError(f"column {name!r} of type {kind.simpleString()} has less than nanosecond resolution")
     if isinstance(kind, T.TimestampNTZType):
-        return _wall_clock_micros(column) * F.lit(1000)
+        return F.try_multiply(_wall_clock_micros(column), F.lit(1000))
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column) * F.lit(1000)
+        return F.try_multiply(F.unix_micros(column), F.lit(1000))
     if isinstance(kind, T.DayTimeIntervalType):
         whole = F.extract(F.lit("DAY"), column).cast("long") * F.lit(86_400)
         whole = whole + F.extract(F.lit("HOUR"), column).cast("long") * F.lit(3600)
         whole = whole + F.extract(F.lit("MINUTE"), column).cast("long") * F.lit(60)
         fraction = (F.extract(F.lit("SECOND"), column) * F.lit(NANOS_PER_SECOND)).cast("long")
-        return whole * F.lit(NANOS_PER_SECOND) + fraction
+        return F.try_add(F.try_multiply(whole, F.lit(NANOS_PER_SECOND)), fraction)
     raise ValueError(f"column {name!r} of type {kind.simpleString()} is not a time")
 
 

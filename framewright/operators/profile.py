@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +31,14 @@ def dim_of(df: DataFrame, column: str) -> Column:
 
 
 def first_non_null(df: DataFrame, column: str, keys: Sequence[str] = (SEGMENT,), order: Sequence[str] = (TIME, ORDINAL)) -> DataFrame:
-    """First value of a column per group, in the given order."""
+    """First value of a column per group, in the given order; rows without a place in it do not count."""
     at = F.struct(*[_q(c) for c in order])
-    return df.groupBy(*keys).agg(F.min_by(_q(column), F.when(_q(column).isNotNull(), at)).alias(column))
+    placed = reduce(and_, [_q(c).isNotNull() for c in (column, *order)])
+    return df.groupBy(*keys).agg(F.min_by(_q(column), F.when(placed, at)).alias(column))
 
 
 def column_dim(recording: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per segment and column the flattened length of the first value, and whether it can be a feature.
+    """Per segment and column the flattened length of the first value with a time, and whether it can be a feature.
 
     Only lengths are aggregated, never the values.
     """
@@ -47,7 +50,7 @@ def column_dim(recording: DataFrame, columns: Sequence[str]) -> DataFrame:
         good = F.lit(vectors.castable_to_float32(kind))
         first = F.min_by(
             F.struct(F.size(flat).alias("dim"), (good & ~holes).alias("castable")),
-            F.when(_q(c).isNotNull(), _position()),
+            F.when(_q(c).isNotNull() & _q(TIME).isNotNull(), _position()),
         )
         measured.append(F.struct(F.lit(c).alias("column"), first.alias("first")))
     listed = recording.groupBy(SEGMENT).agg(F.array(*measured).alias("_all"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,20 +14,50 @@ from framewright.operators.align import ORDINAL, SEGMENT, TIME
 from framewright.operators.scans import number_all
 
 
-def read_recordings(spark: SparkSession, path: str, *, segment: str = SEGMENT) -> DataFrame:
-    """A folder of recordings as Parquet.
+def read_recordings(spark: SparkSession, path: str, *, segment: str = SEGMENT, merge: bool = True) -> DataFrame:
+    """A folder of recordings as Parquet, with the columns of all files; a column that a file lacks is null there.
 
-    Nanosecond columns are read as integers. Without a segment column each file is one
-    segment, named after the file. A missing folder raises.
+    Folders named ``column=value`` give that column as text, and a filter on it skips folders. Other
+    folders are searched too. Without a segment column each file is one segment, named after its path
+    below ``path`` without the ending. Nanosecond columns are read as integers. A missing folder raises.
+    ``merge=False`` takes the columns of one file, which saves a look at every file's footer.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    reader = spark.read.option("mergeSchema", str(merge).lower())
+    whole = reader.option("recursiveFileLookup", "true").parquet(path)
+    named = _by_folders(spark, path, merge, whole.columns)
+    rows = whole if named is None else named
     if segment not in rows.columns:
-        file = F.substring_index(F.input_file_name(), "/", -1)
-        rows = rows.withColumn(segment, F.regexp_replace(file, r"\.parquet$", ""))
+        rows = rows.withColumn(segment, _path_below(path))
     return rows
 
 
+def _by_folders(spark: SparkSession, path: str, merge: bool, plain: Sequence[str]) -> DataFrame | None:
+    """The table with the columns that its folders name, if they name any."""
+    infer = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(infer)
+    spark.conf.set(infer, "false")  # else a segment 007 would become 7
+    try:
+        rows = spark.read.option("mergeSchema", str(merge).lower()).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None  # files only in plain folders
+    finally:
+        spark.conf.set(infer, before)
+    return rows if set(rows.columns) - set(plain) else None
+
+
+def _path_below(path: str) -> Column:
+    """The path of a row's file below ``path``, or the file's name where ``path`` is a file or a pattern."""
+    root = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", path).strip("/") + "/"
+    # the name is percent-encoded; a plus sign in it is meant
+    file = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    at = F.instr(file, root)
+    name = F.when(at > 0, F.substring(file, at + len(root), F.length(file))).otherwise(F.substring_index(file, "/", -1))
+    return F.regexp_replace(name, r"\.parquet$", "")
+
+
 def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     """A recording table by its catalog name."""
     return spark.table(name)

@@ -128,6 +128,29 @@ def test_files_as_segments(spark, tmp_path):
     assert len(names) == 1 and next(iter(names)).startswith("part-")
 
 
+def test_recordings_of_different_columns(spark, tmp_path):
+    root = tmp_path / "a folder"
+    for folder, column in (("run1", "/a:S:s"), ("run 2+%", "/b:S:s")):
+        (root / folder).mkdir(parents=True)
+        spark.range(2).withColumnRenamed("id", column).toPandas().to_parquet(root / folder / "rec.parquet")
+    got = rec.read_recordings(spark, str(root))
+    rows = {(r.segment_id, r["/a:S:s"], r["/b:S:s"]) for r in got.collect()}
+    assert rows == {("run1/rec", 0, None), ("run1/rec", 1, None), ("run 2+%/rec", None, 0), ("run 2+%/rec", None, 1)}
+    one = rec.read_recordings(spark, f"file://{root}/run1/rec.parquet")
+    assert {r.segment_id for r in one.collect()} == {"rec"}
+
+
+def test_recordings_stored_by_segment(spark, tmp_path):
+    path = str(tmp_path / "by")
+    rows = spark.createDataFrame([("007", 1), ("8", 2)], "segment_id string, v long")
+    rows.write.partitionBy("segment_id").parquet(path)
+    got = rec.read_recordings(spark, path)
+    assert {(r.segment_id, r.v) for r in got.collect()} == {("007", 1), ("8", 2)}
+    some = got.where("segment_id = '007'")
+    plan = some._jdf.queryExecution().toString()
+    assert some.count() == 1 and "PartitionFilters: [isnotnull(segment_id" in plan
+
+
 def png(i):
     return b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sII", 13, b"IHDR", 24, 16) + bytes([8, 2, 0, 0, 0, i])
 

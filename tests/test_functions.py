@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from framewright.config import ConversionConfig, VideoSpec
 from framewright.functions import images, names, rules, times, vectors
-from framewright.operators import align
+from framewright.operators import align, profile
 
 
 def one(df, column):
@@ -209,3 +209,35 @@ def test_blob_to_bytes(spark):
 def test_position_is_kept_by_the_reader(spark):
     df = spark.createDataFrame([("s", 0, None, 1), ("s", 1, 4, None), ("s", 2, 5, 1)], "segment_id string, ordinal long, time_ns long, a int")
     assert [r.ordinal for r in align.index_reader(df, ["a"]).collect()] == [2]
+
+
+def test_units_of_higher_layers_and_sequence_headers(spark):
+    cases = {
+        b"\0\0\0\1\x26\x01": "hevc",
+        b"\0\0\1\x28\x01": "hevc",
+        b"\0\0\1\x02\x03": "hevc",
+        b"\0\0\1\x28\xee": "h264",
+        b"\0\0\1\x06\x05": "h264",
+        b"\0\0\1\x06\x01": "h264",
+        b"\0\0\1\x65\x88": "h264",
+        b"\x0a\x0b\0\0": "av1",
+        b"": "h264",
+    }
+    df = spark.createDataFrame([(bytearray(b),) for b in cases], "b binary")
+    got = {bytes(r.b): r.c for r in df.select("b", images.video_codec_probe(F.col("b")).alias("c")).collect()}
+    assert got == cases
+
+
+def test_values_beyond_range_are_null(spark):
+    header = bytearray(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\x0dIHDR" + b"\xff\xff\xff\xff" + b"\0\0\0\x10")
+    row = spark.createDataFrame([(header,)], "b binary").select(images.png_size(F.col("b")).alias("s")).first()
+    assert (row.s.height, row.s.width) == (16, None)
+    for kind in ("timestamp", "timestamp_ntz"):
+        far = spark.sql(f"select cast('9999-01-01 00:00:00' as {kind}) as t union all select cast('1970-01-01 00:00:01' as {kind})")
+        assert {r.n for r in far.select(times.normalize_times(far, "t").alias("n")).collect()} == {None, 1_000_000_000}
+
+
+def test_rows_without_a_time_decide_no_dimension(spark):
+    rows = spark.createDataFrame([("s", 0, None, [1.0, 2.0, 3.0]), ("s", 1, 5, [1.0, 2.0])], "segment_id string, ordinal long, time_ns long, a array<double>")
+    assert [r.dim for r in profile.column_dim(rows, ["a"]).collect()] == [2]
+    assert [r.a for r in profile.first_non_null(rows, "a").collect()] == [[1.0, 2.0]]
