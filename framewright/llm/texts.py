@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -131,7 +131,7 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, remember: int = 1_500_000) -> Encoder:
+def encoder(path: str, remember: int = 400_000) -> Encoder:
     """The encoder of a vocabulary file; a worker keeps it from task to task."""
     return Encoder(path, remember)
 
@@ -142,25 +142,28 @@ class Encoder:
     Texts are cut where the tokenizers used here always split them before the merges: before
     a blank that is followed by something solid, around a line feed between solid characters,
     and before a stop that follows an ASCII letter. Each distinct piece is encoded once and
-    remembered, up to ``remember`` pieces.
+    remembered, up to ``remember`` pieces; beyond that only those of the slice at hand are kept.
     """
 
-    def __init__(self, path: str, remember: int = 1_500_000):
+    def __init__(self, path: str, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remember = Tokenizer.from_file(path), remember
         self.tokenizer.encode_special_tokens = True
-        self._clear()
-
-    def _clear(self) -> None:
         self.seen = pa.array([], pa.binary())
         self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _keep(self, places: np.ndarray) -> None:
+        self.seen = self.seen.take(pa.array(places))
+        self.ids = self.ids[spread(self.starts[places], self.lengths[places])]
+        self.lengths = self.lengths[places]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
     def _learn(self, pieces: pa.Array) -> None:
         ids, lengths = [self.ids], [self.lengths]
-        for at in range(0, len(pieces), 50_000):
-            part = pieces.slice(at, 50_000).cast(pa.string()).to_pylist()
+        for at in range(0, len(pieces), 10_000):
+            part = pieces.slice(at, 10_000).cast(pa.string()).to_pylist()
             each = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths.append(np.fromiter(map(len, each), np.int64, len(each)))
             ids.append(np.fromiter(chain.from_iterable(each), np.uint32, int(lengths[-1].sum())))
@@ -178,9 +181,10 @@ class Encoder:
             pieces = pa.Array.from_buffers(pa.binary(), count, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
             encoded = pieces.dictionary_encode()
             distinct = encoded.dictionary
-            if len(self.seen) + len(distinct) > self.remember:
-                self._clear()
             found = pc.index_in(distinct, value_set=self.seen)
+            if len(self.seen) + found.null_count > self.remember:
+                self._keep(found.drop_null().to_numpy())
+                found = pc.index_in(distinct, value_set=self.seen)
             new = found.is_null()
             place = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
             place[new.to_numpy(zero_copy_only=False)] = len(self.seen) + np.arange(found.null_count)
