@@ -35,6 +35,15 @@ def test_encoder_equals_whole_text_encoding(path):
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == plain_ids(path, texts, 7)
 
 
+def test_encoder_with_little_memory_of_pieces():
+    rng = random.Random(4)
+    encode = Encoder(WORD, remember=40)
+    for _ in range(20):
+        texts = [" ".join(rng.choice("the cat Sat dogs é 12 run").strip() + str(rng.randint(0, 30)) for _ in range(12)) for _ in range(3)]
+        ids, bounds = encode(pa.array(texts), 7)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == plain_ids(WORD, texts, 7)
+
+
 def test_words():
     words = words_of(pa.array([None, "a B\x0b c", "", "  ", "A"]))
     assert [words.distinct[c].as_py() for c in words.codes] == [b"a", b"b", b"c", b"a"]
