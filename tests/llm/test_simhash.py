@@ -117,3 +117,44 @@ def test_drop_near_duplicates(spark):
     docs = odd_documents(spark)
     assert simhash.drop_near_duplicates(docs).columns == docs.columns
     assert simhash.drop_near_duplicates(empty_documents(spark)).count() == 0
+
+
+def plain_kept(rows, size=5, ratio=0.8):
+    """Keys that stay when all pairs of the ratio or more are linked by brute force."""
+    sets = []
+    for _, text in rows:
+        w = (text or "").lower().split()
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= ratio * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return sorted({rows[r][0] for r in root})
+
+
+def test_near_duplicates_at_all_similarities(spark):
+    """Copies with few to many changed words, some with a passage that many texts have."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    line = [rng.choice(words) for _ in range(30)]
+    texts = []
+    for n in (40, 100, 300, 300, 1000):
+        for changes in range(1, max(2, n // 40)):
+            base = [rng.choice(words) for _ in range(n)] + (line if rng.random() < 0.5 else [])
+            near = list(base)
+            for at in rng.sample(range(n), changes):
+                near[at] = rng.choice(words)
+            texts += [base, near]
+    centre = [rng.choice(words) for _ in range(120)]
+    for _ in range(40):
+        near = list(centre)
+        near[rng.randrange(120)] = rng.choice(words)
+        near[rng.randrange(120)] = rng.choice(words)
+        texts.append(near)
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
