@@ -158,3 +158,12 @@ def test_near_duplicates_at_all_similarities(spark):
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
+
+
+def test_short_near_duplicates(spark):
+    """Texts of few shingles that differ in length: 8 and 9 shingles have Jaccard 8 / 9."""
+    w = [f"w{i}" for i in range(13)]
+    texts = [w[:12], w, w[1:], w[:8], w[:9], [*w[:6], "x", *w[7:]], w[:4], w[:3]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows) == [0, 3, 5, 6, 7]
