@@ -139,7 +139,7 @@ select doc_id, n_words, coalesce(word_chars, 0) as word_chars, n_symbols, n_dup_
 from base left join gone using (name, h)"""
 )
 def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_rules(table(spark, sf_dir, "documents")).drop("source")
+    return lines.line_rules(table(spark, sf_dir, "documents")).drop("source", "text")
 
 
 @query()

@@ -148,6 +148,15 @@ def test_line_rules(spark):
     assert lines.line_rules(odd).count() == odd.count() and lines.line_rules(empty_documents(spark)).count() == 0
 
 
+def test_frequent_lines_leave_the_text(spark):
+    own = [f"Own  first {i}\n\n  Shared LINE\t of the host \nown last {i}\n" for i in range(25)]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(own)] + [(25, None, "a"), (26, own[0], "b")], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in lines.line_rules(docs).collect()}
+    cut = [i for i in range(25) if got[i].text != own[i]]
+    assert len(cut) == 24 and all(got[i].text == f"Own  first {i}\n\nown last {i}\n" and got[i].removed_words == 5 for i in cut)
+    assert got[25].text is None and got[26].text == own[0] and got[26].removed_words == 0
+
+
 def test_urls(spark):
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
     rows = [(0, None), (1, "no host"), (2, "http://A.Example.NET/en/1?x"), (3, "http://x.net"), (4, "https://example.com/de/a#b"), (5, "http://notexample.com/de/a"), (6, "http://x.org/fr/é"), (7, "a://b/c://d")]
