@@ -38,11 +38,6 @@ def test_query(spark, duck, name):
     compare(spark, duck, name)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql().keys() - checks.QUERIES.keys()))
-def test_query_on_text(spark, duck, name):
-    compare(spark, duck, name)
-
-
 def compare(spark, duck, name):
     df = contract.queries()[name](spark, str(SF))
     columns = sorted(df.columns)
