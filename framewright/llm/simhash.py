@@ -12,8 +12,7 @@ about ``most`` nodes is cut into runs, and every two runs are compared in a bloc
 so that no task holds such a bucket and no link is lost. Full buckets are foreseen from a
 sample of the nodes; the sample decides only where the work is done.
 
-``drop_near_duplicates`` does not use fingerprints: it joins texts on the shingles of their
-prefixes, which loses no pair of the wanted similarity, and compares their whole sets.
+``drop_near_duplicates`` keeps one document of each component.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framewright.llm.texts import slices, spread, words_of
+from framewright.llm.texts import slices, words_of
 from framewright.session import stage
 
 _BIT_OF = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
@@ -88,8 +87,9 @@ def fingerprints(docs: DataFrame, *, shingle: int, text: str = "text") -> DataFr
 
     Shingles are ``shingle`` words joined by blanks, repeats included; a text of fewer words is
     one shingle; a text without words, or null, has fingerprint 0. A bit is 1 if it is set in
-    over half of the shingles' XXH64 (seed 42).
+    over half of the shingles' XXH64 (seed 42). Columns of these two names are replaced.
     """
+    docs = docs.drop("fingerprint", "n_shingles")
     schema = T.StructType(docs.schema.fields + [T.StructField("fingerprint", T.LongType()), T.StructField("n_shingles", T.LongType())])
 
     def run(batches):
@@ -261,207 +261,30 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 3, key:
     return prints.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", F.col("first").alias("component_id"))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def drop_near_duplicates(
+    docs: DataFrame, *, shingle: int = 3, radius: int = 3, key: str = "doc_id", text: str = "text", most: int = 2048
+) -> DataFrame:
+    """The documents, one of each component of ``near_duplicates``: that of the smallest key.
 
-
-def _sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different shingles of each text as 64-bit hashes in rising (signed) order, and where each text's begin."""
-    words = words_of(texts)
-    hashes = words.hashes()[words.codes]
-    count = np.diff(words.of_text)
-    n = np.where(count, np.maximum(1, count - size + 1), 0)
-    doc = np.repeat(np.arange(len(texts)), n)
-    first = spread(words.of_text[:-1], n)
-    value = np.zeros(len(first), np.uint64)
-    for k in range(size):
-        there = slice(None) if k == 0 else count[doc] > k
-        value[there] = _mixed(value[there] * np.uint64(0x9E3779B97F4A7C15) + hashes[first[there] + k] + np.uint64(k + 1))
-    order = np.lexsort((value.view(np.int64), doc))
-    value, doc = value[order], doc[order]
-    new = np.ones(len(value), bool)
-    new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-    return value[new], np.searchsorted(doc[new], np.arange(len(texts) + 1))
-
-
-def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
-
-
-def _common(docs: DataFrame, shingle: int, text: str, *, rate: int = 16, least: int = 3, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are in several different texts of a sample, and in how many. They only order
-    the shingles of a text, so any list gives the same links."""
-
-    def run(batches):
-        for part in slices(batches, "text"):
-            values, ends = _sets(part.column("text"), shingle)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], names=["key"])
-
-    texts = docs.select(F.col(text).cast("string").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(rate)) == 0).distinct()
-    found = texts.mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    rows = sorted((r.key, r.n) for r in found.orderBy(F.desc("n"), "key").limit(most).collect())
-    return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
-
-
-def shingle_sets(docs: DataFrame, *, shingle: int, ratio: float, text: str = "text") -> DataFrame:
-    """All rows and columns, with ``node`` (names the set of shingles), ``n_shingles`` (different
-    ones), ``prefix`` and ``last_n, last_key``, its last element.
-
-    Shingles are ordered by how common they are, then by hash. Two sets of Jaccard ``ratio`` or
-    more share an element of their prefixes, the first n - ceil(ratio n) + 1 of n.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(_common(docs, shingle, text))
-    more = "node long, n_shingles long, prefix array<long>, last_n long, last_key long"
-    schema = T.StructType(docs.schema.fields + T._parse_datatype_string(more).fields)
-
-    def run(batches):
-        keys, often = shared.value
-        for part in slices(batches, text):
-            values, ends = _sets(part.column(text).cast(pa.string()), shingle)
-            n = np.diff(ends)
-            doc = np.repeat(np.arange(len(n)), n)
-            before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(values + np.uint64(1)), dtype=np.uint64)])
-            node = _mixed(before[ends[1:]] - before[ends[:-1]] + n.astype(np.uint64)).view(np.int64)
-            signed = values.view(np.int64)
-            rank = np.zeros(len(values), np.int64)
-            if len(keys):
-                place = np.minimum(np.searchsorted(keys, signed), len(keys) - 1)
-                rank = np.where(keys[place] == signed, often[place], 0)
-            order = np.lexsort((signed, rank, doc))
-            length = np.where(n, n - _needed(n, ratio) + 1, 0)
-            taken = order[spread(ends[:-1], length)]
-            bounds = np.concatenate([[0], np.cumsum(length)])
-            last = taken[np.maximum(bounds[1:] - 1, 0)] if len(taken) else np.zeros(len(n), np.int64)
-            told = [np.where(n, x[last], 0) if len(taken) else np.zeros(len(n), np.int64) for x in (rank, signed)]
-            extra = [pa.array(node), pa.array(n.astype(np.int64)), _lists(values[taken], bounds), *map(pa.array, told)]
-            yield pa.RecordBatch.from_arrays(part.columns + extra, names=schema.names)
-
-    return docs.mapInArrow(run, schema)
-
-
-def _needed(n: np.ndarray, ratio: float) -> np.ndarray:
-    return np.ceil(ratio * n - 1e-9).astype(np.int64)
-
-
-def _several(batches):
-    """The rows ``key, node`` of keys of two nodes or more, once each; rows come in this order."""
-    held, told = None, False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if held:
-            key, node = np.concatenate([[held[0]], key]), np.concatenate([[held[1]], node])
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node = key[new], node[new]
-        same = key[1:] == key[:-1]
-        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        if held and told:
-            keep[0] = False
-        told = bool(keep[-1]) or (len(key) == 1 and told)
-        held = (key[-1], node[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], names=["key", "node"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, ratio: float) -> DataFrame:
-    """The pairs ``a, b`` whose sets have Jaccard ``ratio`` or more."""
-    own = sets.join(pairs.select(F.col("a").alias("node")).distinct(), "node").select(F.col("node").alias("a"), F.lit(0).alias("other"), F.col("node").alias("b"), "set")
-    others = pairs.join(sets, pairs["b"] == sets["node"]).select("a", F.lit(1).alias("other"), "b", "set")
-    rows = own.unionByName(others).repartition("a").sortWithinPartitions("a", "other")
-
-    def run(batches):
-        mine = np.zeros(0, np.int64)
-        for batch in batches:
-            a, other, b, values = batch.columns
-            a, other, b = (c.to_numpy(zero_copy_only=False) for c in (a, other, b))
-            ends, flat = values.offsets.to_numpy(), values.values.to_numpy(zero_copy_only=False)
-            good = np.zeros(len(a), bool)
-            for i in range(len(a)):
-                theirs = flat[ends[i] : ends[i + 1]]
-                if not other[i]:
-                    mine = np.array(theirs)
-                    continue
-                place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
-                both = int((mine[place] == theirs).sum())
-                good[i] = both >= ratio * (len(mine) + len(theirs) - both) - 1e-9
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
-
-
-def similar(marked: DataFrame, *, shingle: int, ratio: float, text: str = "text") -> DataFrame:
-    """``node, root`` for the nodes that are linked with others: all pairs of Jaccard ``ratio`` or
-    more are linked, directly or through others. ``marked`` is what ``shingle_sets`` gives.
-
-    First every node of a bucket is compared with one of them, twice, which joins groups of
-    near copies in a number of pairs that grows with their rows; then all pairs of a bucket that are not in
-    one component yet, if the elements that their prefixes share leave room for the ratio.
-    """
-    rows = marked.select(F.explode("prefix").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
-    buckets = stage(rows.mapInArrow(_several, "key long, node long"), "buckets")
-    facts = marked.groupBy("node").agg(F.first(F.struct("n_shingles", "last_n", "last_key")).alias("x"), F.min("row").alias("row"))
-    facts = stage(facts.join(buckets.select("node").distinct(), "node").select("node", "x.*", "row"), "facts")
-
-    def hashed(batches):
-        for part in slices(batches, "text"):
-            values, ends = _sets(part.column("text"), shingle)
-            yield pa.RecordBatch.from_arrays([part.column("node"), _lists(values, ends)], names=["node", "set"])
-
-    texts = marked.select("row", F.col(text).cast("string").alias("text")).join(facts.select("row", "node"), "row")
-    sets = stage(texts.select("node", "text").mapInArrow(hashed, "node long, set array<long>"), "sets")
-    one, two = (facts.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n_shingles", "last_n", "last_key")]) for x in ("a", "b"))
-
-    def fitting(pairs):
-        known = pairs.join(one, "a").join(two, "b")
-        low, high = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-        return known.where(low >= ratio * high - 1e-9)
-
-    placed, edges = buckets.withColumn("root", F.col("node")), None
-    for turn in range(2):
-        # each time other nodes are the centres of buckets that are not in one component yet
-        order = F.xxhash64("node", F.lit(turn), *(["key"] if turn else []))
-        centres = placed.groupBy("key").agg(F.min_by(F.struct(F.col("node").alias("a"), F.col("root").alias("root_a")), order).alias("x"))
-        stars = placed.join(centres.select("key", "x.*"), "key")
-        stars = stars.where("node <> a and root <> root_a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        found = _verified(stage(fitting(stars).select("a", "b"), "stars"), sets, ratio)
-        edges = stage(found if edges is None else found.unionByName(edges), "star-links")
-        roots = components(edges)
-        placed = placed.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        placed = stage(placed.select("key", "node", "root"), "placed")
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        placed = stage(placed.join(mixed, "key"), "open-buckets")
-    left, right = (placed.select("key", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b"))
-    pairs = left.join(right, "key").where("a < b and root_a <> root_b").groupBy("a", "b").agg(F.count("*").alias("both"))
-    # up to where the first prefix ends all common elements are counted; of that set so many follow
-    after = lambda x: F.col(f"n_shingles_{x}") - (F.col(f"n_shingles_{x}") - F.ceil(ratio * F.col(f"n_shingles_{x}") - 1e-9) + 1)
-    ends_first = F.struct("last_n_a", "last_key_a") <= F.struct(F.col("last_n_b").alias("last_n_a"), F.col("last_key_b").alias("last_key_a"))
-    room = F.col("both") + F.when(ends_first, after("a")).otherwise(after("b"))
-    rest = fitting(pairs).where(room >= ratio / (1 + ratio) * (F.col("n_shingles_a") + F.col("n_shingles_b")) - 1e-6)
-    more = _verified(stage(rest.select("a", "b"), "rest"), sets, ratio)
-    return components(edges.unionByName(more))
-
-
-def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5, ratio: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, one of each group of near duplicates: that of the smallest key.
-
-    Two texts of any length are linked if the Jaccard similarity of their sets of ``shingle``-word
-    shingles is ``ratio`` or more; a text of fewer words is one shingle. Every such pair is found.
-    Columns and their order stay. Null keys come after all others; of rows equal in key one
-    stays; texts without words form one group.
+    Columns and their order stay. Null keys come after all others; of rows equal in key and text
+    one stays; texts without words, and null texts, form one group. A row is named by two 64-bit
+    hashes of its key and text, so that texts are not copied while components are worked out.
     """
     names = docs.columns
     clear = {n: f"own_{i}" for i, n in enumerate(names)}
     rows = docs.select(*[F.col(n).alias(m) for n, m in clear.items()])
-    marked = shingle_sets(rows, shingle=shingle, ratio=ratio, text=clear[text]).withColumn("row", F.monotonically_increasing_id())
-    marked = stage(marked, "marked")
-    roots = similar(marked, shingle=shingle, ratio=ratio, text=clear[text])
-    own = F.col(clear[key])
-    placed = marked.select(own.alias("key"), "row", "node").join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
-    best = placed.groupBy("group").agg(F.min(order).alias("best"))
-    gone = placed.join(best, "group").where(F.col("row") != F.col("best.row")).select("row")
-    kept = marked.join(stage(gone, "copies"), "row", "left_anti")
-    return kept.select(*[F.col(m).alias(n) for n, m in clear.items()])
+    own, content = F.col(clear[key]), F.col(clear[text]).cast("string")
+    named = {"id_a": F.xxhash64(own, content), "id_b": F.xxhash64(content, F.lit(7), own)}
+    prints = fingerprints(rows.select(own.alias("key"), content.alias("text"), *[v.alias(k) for k, v in named.items()]), shingle=shingle)
+    prints = stage(prints.drop("text").groupBy("key", "id_a", "id_b", "fingerprint", "n_shingles").agg(F.count("*").alias("n")), "fingerprints")
+    group = groups(prints, radius=radius, key="key", most=most).select("fingerprint", "group")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "id_a", "id_b", "n")
+    best = prints.groupBy("fingerprint").agg(F.min(order).alias("best")).join(group, "fingerprint").groupBy("group").agg(F.min("best").alias("best"))
+    kept = stage(best.select("best.id_a", "best.id_b", "best.n"), "kept")
+    rows = rows.withColumns(named)
+    found = rows.join(kept.where("n = 1"), ["id_a", "id_b"], "left_semi").select(*clear.values())
+    again = kept.where("n > 1")
+    if not again.isEmpty():
+        one = rows.join(again, ["id_a", "id_b"], "left_semi").groupBy("id_a", "id_b").agg(F.any_value(F.struct(*clear.values())).alias("x"))
+        found = found.unionByName(one.select("x.*"))
+    return found.select(*[F.col(m).alias(n) for n, m in clear.items()])

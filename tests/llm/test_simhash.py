@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from framewright.llm import simhash
 from tests.llm.cases import empty_documents, odd_documents
@@ -102,6 +103,7 @@ def test_long_chain(spark):
 
 
 def test_drop_near_duplicates(spark):
+    """One row of each component stays, against fingerprints compared in pairs."""
     rng = random.Random(4)
     words = [f"w{i}" for i in range(3000)]
     base = [rng.choice(words) for _ in range(800)]
@@ -109,61 +111,23 @@ def test_drop_near_duplicates(spark):
     near[400] = "changed"
     other = [rng.choice(words) for _ in range(800)]
     texts = [base, base, near, other, base[:3], other[:3], base[:300]]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(7, None), (8, "")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows = [(i, " ".join(t), 1) for i, t in enumerate(texts)] + [(7, None, 1), (8, "", 2), (3, " ".join(other), 3), (None, " ".join(other), 4)]
+    rows += [(9, "only here once", 1), (9, "only here once", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint long")
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 5, 6, 7]
+    prints = [plain_print(t, 3) for _, t, _ in rows]
+    want = defaultdict(list)
+    for (i, _, _), c in zip(rows, plain_components(prints, 3)):
+        want[c].append((i is None, i or 0))
+    got = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
+    assert got == sorted(min(v) for v in want.values()) and len(got) == 7
     docs = odd_documents(spark)
     assert simhash.drop_near_duplicates(docs).columns == docs.columns
     assert simhash.drop_near_duplicates(empty_documents(spark)).count() == 0
 
 
-def plain_kept(rows, size=5, ratio=0.8):
-    """Keys that stay when all pairs of the ratio or more are linked by brute force."""
-    sets = []
-    for _, text in rows:
-        w = (text or "").lower().split()
-        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if both >= ratio * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
-                a, b = root[i], root[j]
-                root = [min(a, b) if r in (a, b) else r for r in root]
-    return sorted({rows[r][0] for r in root})
-
-
-def test_near_duplicates_at_all_similarities(spark):
-    """Copies with few to many changed words, some with a passage that many texts have."""
-    rng = random.Random(5)
-    words = [f"w{i}" for i in range(5000)]
-    line = [rng.choice(words) for _ in range(30)]
-    texts = []
-    for n in (40, 100, 300, 300, 1000):
-        for changes in range(1, max(2, n // 40)):
-            base = [rng.choice(words) for _ in range(n)] + (line if rng.random() < 0.5 else [])
-            near = list(base)
-            for at in rng.sample(range(n), changes):
-                near[at] = rng.choice(words)
-            texts += [base, near]
-    centre = [rng.choice(words) for _ in range(120)]
-    for _ in range(40):
-        near = list(centre)
-        near[rng.randrange(120)] = rng.choice(words)
-        near[rng.randrange(120)] = rng.choice(words)
-        texts.append(near)
-    rng.shuffle(texts)
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
-    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
-
-
-def test_short_near_duplicates(spark):
-    """Texts of few shingles that differ in length: 8 and 9 shingles have Jaccard 8 / 9."""
-    w = [f"w{i}" for i in range(13)]
-    texts = [w[:12], w, w[1:], w[:8], w[:9], [*w[:6], "x", *w[7:]], w[:4], w[:3]]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows) == [0, 3, 5, 6, 7]
+def test_clashing_columns(spark):
+    docs = odd_documents(spark).withColumns({"fingerprint": F.lit("x"), "n_shingles": F.lit("y")})
+    assert simhash.fingerprints(docs, shingle=3).columns == docs.columns
+    assert simhash.near_duplicates(docs).count() == docs.count()
