@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates by five-word shingles stays."""
-    return simhash.drop_near_duplicates(docs, shingle=5, ratio=0.8)
+    """One document of each group of near duplicates by SimHash fingerprints stays."""
+    return simhash.drop_near_duplicates(docs, shingle=3, radius=3)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
