@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import ans, decontam, lines, ngrams, packing, secrets, sharding, simhash, toxicity, urls
+from framewright.llm import ans, decontam, lines, merkle, ngrams, packing, secrets, sharding, simhash, toxicity, urls
 from framewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,75 @@ def op4_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ngrams.score(docs, model)
     held = F.coalesce(remainder == 0, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+FIELD_SQL = lambda x: f"coalesce(strlen(({x})::varchar)::varchar || ':' || ({x})::varchar, '-')"
+
+
+@query(
+    f"""
+with recursive bits as (
+    select list_reduce(list_prepend(b, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as remainder, b
+    from range(256) t(b)
+), remainders as (select list(remainder order by b) as r from bits),
+rows as (
+    select d.*, coalesce('=' || lang, '') as name, xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+        list_transform(range(strlen(doc_id::varchar)), lambda i: ascii(substr(doc_id::varchar, i + 1, 1))::bigint)),
+        lambda c, x: xor(c >> 8, r[1 + (xor(c, x) & 255)]))) as crc
+    from documents d, remainders
+), leaves as (
+    select doc_id, name, sha256({" || ".join(map(FIELD_SQL, FIELDS))}) as leaf,
+        sha256({" || ".join(FIELD_SQL("n_chars + case when crc % 7 = 0 then 1 else 0 end" if f == "n_chars" else f) for f in FIELDS)}) as changed,
+        crc is not null and crc % 7 = 0 as tampered
+    from rows
+), placed as (
+    select doc_id, name, leaf, case when tampered then changed else leaf end as claimed,
+        row_number() over (partition by name order by doc_id nulls first, leaf) - 1 as p, count(*) over (partition by name) as n
+    from leaves
+), tree as (
+    select name, 0 as level, p, leaf as node, n from placed
+    union all
+    select name, any_value(level) + 1, p // 2, sha256(string_agg(node, '' order by p)), (any_value(n) + 1) // 2 from tree where n > 1 group by name, p // 2
+), tops as (select name, node, row_number() over (order by name) - 1 as p, count(*) over () as n from tree where n = 1),
+upper as (
+    select 0 as level, p, node, n from tops
+    union all
+    select any_value(level) + 1, p // 2, sha256(string_agg(node, '' order by p)), (any_value(n) + 1) // 2 from upper where n > 1 group by p // 2
+),
+steps as (
+    select d.name, d.p, s.level, (d.p >> s.level) & 1 as odd, coalesce(t.node, '') as other
+    from placed d join (select distinct name, level from tree where n > 1) s using (name)
+    left join tree t on t.name = d.name and t.level = s.level and t.p = xor(d.p >> s.level, 1)
+),
+own as (
+    select name, p, list(struct_pack(l := case odd when 1 then other else '' end, r := case odd when 1 then '' else other end) order by level) as path
+    from steps group by all
+),
+high as (
+    select d.name, list(struct_pack(l := case (d.p >> s.level) & 1 when 1 then coalesce(t.node, '') else '' end,
+        r := case (d.p >> s.level) & 1 when 1 then '' else coalesce(t.node, '') end) order by s.level) as path
+    from tops d, (select distinct level from upper where n > 1) s
+    left join upper t on t.level = s.level and t.p = xor(d.p >> s.level, 1) group by d.name
+),
+proofs as (
+    select d.doc_id, d.leaf, d.claimed, x.node as subroot, (select node from upper where n = 1) as root,
+        list_concat(coalesce(own.path, []), coalesce(high.path, [])) as path
+    from placed d join tops x using (name) left join own on own.name = d.name and own.p = d.p left join high on high.name = d.name
+),
+checked as (
+    select *, sha256(coalesce(list_aggregate(list_transform(path, lambda s: s.l || s.r), 'string_agg', ''), '')) as proof_sha256,
+        list_reduce(list_prepend(struct_pack(l := claimed, r := ''), path), lambda a, s: struct_pack(l := sha256(s.l || a.l || s.r), r := '')).l as folded_root
+    from proofs
+)
+select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from checked"""
+)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0, F.lit(False))
+    changed = [F.col(f) + F.when(tampered, 1).otherwise(0) if f == "n_chars" else F.col(f) for f in FIELDS]
+    rows = merkle.manifest(docs, fields=FIELDS, also={"claimed": merkle.leaf(*changed)})
+    root = merkle.folded(F.col("claimed"), F.col("path"))
+    proof = F.sha2(merkle.siblings(F.col("path")), 256)
+    rows = rows.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), root.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
