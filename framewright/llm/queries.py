@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import ans, decontam, lines, merkle, ngrams, packing, secrets, sharding, simhash, toxicity, urls
+from framewright.llm import ans, decontam, lines, merkle, ngrams, packing, repair, secrets, sharding, simhash, toxicity, urls
 from framewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,3 +250,86 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     proof = F.sha2(merkle.siblings(F.col("path")), 256)
     rows = rows.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), root.alias("folded_root"))
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+REPAIR_SQL = r"""
+with recursive bits as (
+    select list_reduce(list_prepend(b, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as remainder, b
+    from range(256) t(b)
+), remainders as (select list(remainder order by b) as r from bits),
+whole as (
+    select coalesce('=' || conv_id, '') as name, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k
+    from conversations
+), hit as (
+    select *, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(strlen(k)), lambda i: ascii(substr(k, i + 1, 1))::bigint)),
+        lambda c, x: xor(c >> 8, r[1 + (xor(c, x) & 255)]))) % 20 as kind
+    from whole, remainders
+), damaged as (
+    select name, turn, case kind when 4 then 'user' else role end as role,
+        case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+    from hit, range(2) c(copy) where kind <> 0 and (copy = 0 or kind = 3)
+), placed as (
+    select *, row_number() over (partition by name order by turn nulls first, sha256(strlen(role) || ':' || role || ':' || text)) as i,
+        count(*) over (partition by name) as n, left(role, 1) as c, regexp_replace(text, '[\x20\x09-\x0D]+$', '') as bare
+    from damaged
+), faults as (
+    select *, case when bare = '' then 'blank' when row_number() over (partition by name, role, text order by i) > 1 then 'duplicate'
+        when right(bare, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+        (lag(c) over (partition by name order by i)) || c as pair
+    from placed
+), costed as (
+    select *, fault in ('blank', 'duplicate') as must, case when fault = 'truncated' then 1 else 0 end as late,
+        [case c when 's' then 2 when 'u' then 3 end, case c when 'u' then 3 end, case c when 'a' then 4 end, case c when 'u' then 3 end] as kept
+    from faults
+), back as (
+    select name, any_value(n) + 1 as i, [0::bigint, 4, 2, 0] as v from costed group by name
+    union all
+    select name, i, [least(w[1], 2 + w[3], 4 + w[4]), least(w[2], 2 + w[3], 4 + w[4]), least(w[3], 2 + w[4]), least(w[4], 2 + w[3])]
+    from (
+        select r.name, r.i, list_transform([1, 2, 3, 4], lambda q: least(3 + b.v[q],
+            case when r.must then 1000000 else 2 + r.late + b.v[[3, 3, 4, 3][q]] end,
+            case when r.must or r.kept[q] is null then 1000000 else r.late + b.v[r.kept[q]] end)) as w
+        from back b join costed r on r.name = b.name and r.i = b.i - 1
+    )
+), walk as (
+    select name, 1::bigint as i, 1 as q, '' as audit, []::varchar[] as lines from back where i = 1
+    union all
+    select name, case e when 'I' then i else i + 1 end, case e when 'D' then q when 'K' then kept[q] else [3, 3, 4, 3][q] end, audit || e,
+        case e when 'D' then lines else list_append(lines, case e when 'K' then role else ['user', 'user', 'assistant', 'user'][q] end || ':' || case e when 'I' then '' else text end) end
+    from (
+        select w.*, r.kept, r.role, r.text, case when b.v[w.q] = 3 + a.v[w.q] then 'D' when b.v[w.q] = 2 + b.v[[3, 3, 4, 3][w.q]] then 'I'
+            when not r.must and b.v[w.q] = r.late + a.v[r.kept[w.q]] then 'K' else 'R' end as e
+        from walk w join back b on b.name = w.name and b.i = w.i left join back a on a.name = w.name and a.i = w.i + 1
+        left join costed r on r.name = w.name and r.i = w.i
+        where r.i is not null or b.v[w.q] > 0
+    )
+), counts as (
+    select name, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, any_value(n) as n,
+        count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+        count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+    from faults group by name
+), repaired as (
+    select c.*, b.v[1] as cost, w.audit, sha256(coalesce(list_aggregate(w.lines, 'string_agg', chr(10)), '')) as repaired_sha256
+    from counts c join back b on b.name = c.name and b.i = 1
+    join (select name, arg_max(audit, length(audit)) as audit, arg_max(lines, length(audit)) as lines from walk group by name) w on w.name = c.name
+)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+    coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit, coalesce(repaired_sha256, sha256('')) as repaired_sha256
+from (select distinct conv_id, coalesce('=' || conv_id, '') as name from conversations) left join repaired using (name)"""
+
+
+@query(REPAIR_SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    written = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    damage = F.pmod(F.crc32(F.concat_ws(":", written("conv_id"), written("turn")).cast("binary")), F.lit(20))
+    text = F.when(damage == 1, "").when(damage == 2, F.regexp_replace(written("text"), "[.!?]", "")).otherwise(written("text"))
+    role = F.when(damage == 4, "user").otherwise(written("role"))
+    times = F.explode(F.array_repeat(F.lit(1), F.when(damage == 3, 2).otherwise(1)))
+    damaged = rows.where(damage != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("copy"))
+    found = repair.repair(damaged)
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    every = rows.select(F.col("conv_id").alias("own")).distinct()
+    joined = every.join(found, F.col("own").eqNullSafe(F.col("conv_id")), "left")
+    return joined.select(F.col("own").alias("conv_id"), *[F.coalesce(c, none.get(c, F.lit(0))).alias(c) for c in found.columns[1:]])
