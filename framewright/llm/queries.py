@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import ans, decontam, lines, merkle, ngrams, packing, repair, secrets, sharding, simhash, toxicity, urls
+from framewright.llm import ans, decontam, lines, merkle, ngrams, packing, quality, repair, secrets, sharding, simhash, toxicity, urls
 from framewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,6 +180,14 @@ def op4_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+@query()
+def op11_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    remainder = lambda: F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    scored = quality.rate(docs, labels.where(remainder() != 2))
+    return scored.select("doc_id", F.coalesce(remainder() == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 FIELD_SQL = lambda x: f"coalesce(strlen(({x})::varchar)::varchar || ':' || ({x})::varchar, '-')"
 
