@@ -121,7 +121,7 @@ lines as (
 sizes as (select name, count(*) as texts from texts group by name),
 often as (
     select name, line, min(h) as first from lines join sizes using (name) group by name, line
-    having count(*) > 20 and count(*) > 0.005 * max(texts)
+    having count(*) > 20 or count(*) > 5 and count(*) > 0.2 * max(texts)
 ),
 gone as (select name, h, sum(words) as removed from lines join often using (name, line) where h <> first group by all),
 base as (

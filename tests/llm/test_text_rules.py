@@ -157,6 +157,35 @@ def test_frequent_lines_leave_the_text(spark):
     assert got[25].text is None and got[26].text == own[0] and got[26].removed_words == 0
 
 
+def test_line_limit_at_any_size_of_host(spark):
+    """A line in 21 texts is frequent in a host of 21 and of 6000; a fifth of a small host is enough."""
+    rng = random.Random(12)
+    for n, shared, gone in ((21, 21, 20), (6000, 21, 20), (6000, 20, 0), (10, 6, 5), (100, 6, 0)):
+        rows = [(i, words(rng, 15) + ("\nSHARED by some" if i < shared else ""), "a") for i in range(n)]
+        got = lines.line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+        assert got.where("removed_words = 3").count() == gone and got.where("removed_words > 0").count() == gone
+
+
+def test_counts_follow_the_text_returned(spark):
+    docs = odd_documents(spark).unionByName(odd_documents(spark, 2)).withColumn("source", F.lit("one"))
+    for r in lines.line_rules(docs, most=2, few=1).collect():
+        assert r.removed_words == r.n_words - len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+
+
+def test_no_text_below_an_exchange(spark, tmp_path):
+    from framewright.llm import queries
+
+    odd_documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries.QUERIES["op8_line_frequency"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan()
+    found, nodes = [], [plan]
+    while nodes:
+        node = nodes.pop()
+        if "Join" in node.nodeName():
+            found += [a for i in range(node.children().size()) for a in node.children().apply(i).output().mkString(",").split(",")]
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert found and not any(a.startswith("text#") for a in found)
+
+
 def test_urls(spark):
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
     rows = [(0, None), (1, "no host"), (2, "http://A.Example.NET/en/1?x"), (3, "http://x.net"), (4, "https://example.com/de/a#b"), (5, "http://notexample.com/de/a"), (6, "http://x.org/fr/é"), (7, "a://b/c://d")]
