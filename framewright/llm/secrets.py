@@ -209,18 +209,20 @@ def fit(windows: list, *, rounds: int = 150, penalty: float = 1e-3) -> Field:
     return Field(*parts)
 
 
-def train(docs: DataFrame, *, sample: int = 1500, reach: int = 8, apart: int = 400, key: str = "doc_id", text: str = "text") -> Field:
+def train(docs: DataFrame, *, sample: int = 1500, reach: int = 8, apart: int = 400, most_parts: int = 50, key: str = "doc_id", text: str = "text") -> Field:
     """A field fitted on at most ``2 * sample`` documents: those of least hash with a match of a
-    fixed pattern, and those without."""
+    fixed pattern, and those without. Rows equal in key and length count as one, and a text gives
+    at most ``most_parts`` parts of 4000 characters, spread evenly, so the sample is bounded."""
     rows = docs.select(F.col(text).cast("string").alias("text"), F.xxhash64(F.col(key), F.length(text)).alias("h")).where("text is not null")
     has = F.col("text").rlike(_MAYBE)
     # the hash up to which documents are taken is found without moving texts
     narrow = stage(rows.select("h", has.alias("has")), "secret-sample")
     low = -(1 << 63)
-    tops = [narrow.where(w).orderBy("h").limit(sample).agg(F.coalesce(F.max("h"), F.lit(low))).first()[0] for w in (F.col("has"), ~F.col("has"))]
-    near = rows.where(F.col("h") <= max(tops))
-    chosen = near.where(F.col("h") <= F.when(has, F.lit(tops[0])).otherwise(F.lit(tops[1])))
-    parts = "transform(sequence(0, int((length(text) - 1) / 4000)), i -> substring(text, i * 4000 + 1, 4000))"
+    tops = [narrow.where(w).select("h").distinct().orderBy("h").limit(sample).agg(F.coalesce(F.max("h"), F.lit(low))).first()[0] for w in (F.col("has"), ~F.col("has"))]
+    near = rows.where(F.col("h") <= max(tops)).withColumn("has", has)
+    chosen = near.where(F.col("h") <= F.when(F.col("has"), F.lit(tops[0])).otherwise(F.lit(tops[1]))).groupBy("h", "has").agg(F.min("text").alias("text"))
+    last = "int(greatest(length(text) - 1, 0) / 4000)"
+    parts = f"transform(sequence(0, {last}, 1 + int({last} / {most_parts})), i -> substring(text, i * 4000 + 1, 4000))"
     found = chosen.select(F.explode(F.expr(parts)).alias("text"))
 
     def run(batches):
@@ -239,17 +241,19 @@ def find(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "tex
 
     Kinds are assign, access and hex for the fixed patterns and field for spans that only the
     random field finds; those that overlap a fixed one are left out. Null and empty texts have none;
-    all columns stay, other columns are not read; repeated rows and null keys stay as they are.
+    all columns stay, other columns are not read; repeated rows and null keys stay as they are. A
+    column ``secrets`` is replaced.
     """
-    schema, run = _finder(docs, field, text)
+    docs = docs.drop("secrets")
+    schema, run = _finder(docs, field, text, "secrets")
     return docs.mapInArrow(run, schema)
 
 
-def _finder(docs: DataFrame, field: Field, text: str):
-    """The schema and the step over batches of `find`."""
+def _finder(docs: DataFrame, field: Field, text: str, name: str):
+    """The schema and the step over batches of `find`; the spans are in the column ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    schema = T.StructType(docs.schema.fields + [T.StructField("secrets", T.ArrayType(span))])
+    schema = T.StructType(docs.schema.fields + [T.StructField(name, T.ArrayType(span))])
     kinds = [*PATTERNS, "field"]
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -299,15 +303,17 @@ def _finder(docs: DataFrame, field: Field, text: str):
 
 
 def mask_secrets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The documents with every secret replaced by ``mark``; overlapping spans are one."""
-    _, find_in = _finder(docs, train(docs, key=key, text=text), text)
+    """The documents with every secret replaced by ``mark``; overlapping spans are one. Columns and
+    their order stay, whatever their names."""
     names = docs.columns
+    spans_of = "spans of " + "".join(names)
+    _, find_in = _finder(docs, train(docs, key=key, text=text), text, spans_of)
 
     # both steps in one worker: two in a row would keep two workers a task
     def run(batches):
         for part in find_in(batches):
             values = part.column(text).to_pylist()
-            for i, spans in enumerate(part.column("secrets").to_pylist()):
+            for i, spans in enumerate(part.column(spans_of).to_pylist()):
                 if spans:
                     pieces, at = [], 0
                     for s in spans:
