@@ -1,7 +1,10 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a lexicon, with block-max
+inverted indexes.
 
-Terms are words and beginnings of words that differ between toxic and other examples; they are
-chosen on a bounded sample of labelled documents, which are the examples too. Document
+The lexicon holds words and beginnings of words that are far more frequent in toxic examples
+than in others. It is chosen on a bounded sample of labelled documents, which are the examples
+too, and cosines are taken over it alone, not over all words of a text: in texts where a few
+words tell, all the others would decide which examples are near. Document
 frequencies are counted over all documents. Examples lie in blocks; for every term and block
 the greatest weight is kept, so a block's best possible cosine is known before its postings are
 read, and blocks that cannot reach the k nearest are never opened. The k nearest are exact.
@@ -69,6 +72,7 @@ class Index:
     value: np.ndarray
     none: tuple[float, float]
     blocks: list
+    keys: pa.Array
     curve: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -156,8 +160,8 @@ def train(
     parts = [hashed.where(F.col("label") == c).orderBy("h", "key").limit(n) for c, n in ((1, toxic), (0, clean))]
     chosen = stage(parts[0].unionByName(parts[1]).drop("h"), "examples")
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    # several documents of one key are one example each; the sample is bounded by the keys
-    examples = stage(rows.join(chosen, "key"), "example-texts")
+    # one document for each key, so that the sample is bounded
+    examples = stage(rows.join(chosen, "key").groupBy("key", "label").agg(F.min("text").alias("text")), "example-texts")
 
     def split(batches):
         for part in slices(batches, "text", 4 << 20):
@@ -210,7 +214,7 @@ def train(
     # examples of one leading term lie together, so that blocks have few terms
     found = sorted((r for r in found if r.terms), key=lambda r: (max(r.terms, key=lambda t: (idf[t], t)), r.terms, r.key))
     label = np.array([r.label for r in found], float)
-    index = Index(terms, idf, label, np.array([share[r.label] for r in found], float), *([None] * 3), tuple(none), [])
+    index = Index(terms, idf, label, np.array([share[r.label] for r in found], float), *([None] * 3), tuple(none), [], pa.array([r.key for r in found]))
     own = [(np.array(r.terms), index.vector(np.array(r.terms), np.array(r.counts))) for r in found]
     term = np.concatenate([t for t, _ in own]) if own else np.zeros(0, np.int64)
     value = np.concatenate([v for _, v in own]) if own else np.zeros(0)
@@ -230,47 +234,53 @@ def train(
 
 
 def score(docs: DataFrame, index: Index, *, k: int = 25, limit: float = 0.7, text: str = "text") -> DataFrame:
-    """All rows and columns, with ``score`` (0 to 1), ``predicted`` and ``evidence``: terms found.
+    """All rows and columns, with ``score`` (0 to 1), ``predicted`` and ``evidence``: keys and cosines
+    of the ``k`` nearest examples, the nearest first.
 
     Only the text is read. Texts without any term, null and empty ones among them, get the rate of
-    such examples; equal texts get equal scores.
+    such examples and have no neighbour; equal texts get equal scores. Columns of these names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
     names = [n for n in docs.columns if n not in ("score", "predicted", "evidence")]
     fields = [docs.schema[n] for n in names]
-    more = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", T.ArrayType(T.StringType()))]
+    more = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("cosine", T.DoubleType())])))]
     schema = T.StructType(fields + more)
 
     def run(batches):
-        vocabulary = pa.array(shared.value.vocabulary, pa.string())
-        for part, scores, term, ends in _scored(shared.value, batches, text, k):
-            told = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), vocabulary.take(pa.array(term, pa.int64())))
-            extra = [pa.array(scores), pa.array((scores >= limit).astype(np.int32)), told]
+        keys = shared.value.keys.cast(pa.string())
+        for part, scores, near in _scored(shared.value, batches, text, k):
+            ends = np.concatenate([[0], np.cumsum([len(f) for f, _ in near])])
+            found, cosine = (np.concatenate([np.zeros(0, kind), *x]) for kind, x in zip((np.int64, float), zip(*near)))
+            pairs = pa.StructArray.from_arrays([keys.take(pa.array(found, pa.int64())), pa.array(cosine)], names=["key", "cosine"])
+            extra = [pa.array(scores), pa.array((scores >= limit).astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]
             yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + extra, names=schema.names)
 
     return docs.select(*names).mapInArrow(run, schema)
 
 
+_NONE = np.zeros(0, np.int64), np.zeros(0)
+
+
 def _scored(model: Index, batches, text: str, k: int):
-    """Slices of the batches with the scores of their rows, the terms found and where each row's end."""
+    """Slices of the batches with the scores of their rows and the nearest examples of each."""
     vocabulary = pa.array(model.vocabulary, pa.string())
     toxic, clean = model.none
     rest = toxic / (toxic + clean) if toxic + clean else 0.0
-    seen: dict[bytes, float] = {}
+    seen: dict[bytes, tuple] = {}
     for part in slices(batches, text):
         row, term, count = _counts(_texts(part.column(text)), vocabulary)
         ends = np.searchsorted(row, np.arange(part.num_rows + 1))
-        scores = np.full(part.num_rows, rest)
+        scores, near = np.full(part.num_rows, rest), [_NONE] * part.num_rows
         for i in np.flatnonzero(np.diff(ends)).tolist():
             own = slice(ends[i], ends[i + 1])
             name = term[own].tobytes() + count[own].tobytes()
             if name not in seen:
-                if len(seen) > 100_000:
+                if len(seen) > 20_000:
                     seen.clear()
-                vector = model.vector(term[own], count[own])
-                seen[name] = model.score(model.vote(*model.nearest(term[own], vector, k)))
-            scores[i] = seen[name]
-        yield part, scores, term, ends
+                nearest = model.nearest(term[own], model.vector(term[own], count[own]), k)
+                seen[name] = model.score(model.vote(*nearest)), nearest
+            scores[i], near[i] = seen[name]
+        yield part, scores, near
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, limit: float = 0.7, k: int = 25, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -278,7 +288,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, limit: float = 0.7, k: int
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, k=k, key=key, text=text))
 
     def run(batches):
-        for part, scores, _, _ in _scored(shared.value, batches, text, k):
+        for part, scores, _ in _scored(shared.value, batches, text, k):
             yield part.filter(pa.array(scores < limit))
 
     return docs.mapInArrow(run, docs.schema)
