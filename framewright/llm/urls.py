@@ -1,7 +1,7 @@
 """URL rules and a tree of path templates per host.
 
 The tree is grown level by level from the root: at each node a path segment stays literal if
-enough of the node's pages have it, every other segment becomes ``*``. Then branches are
+at least so many pages have it, however many others the node has; every other segment becomes ``*``. Then branches are
 merged from the deepest literal up: a template whose labelled pages do not differ from those of
 its siblings taken together (two-proportion test), or that has too few of them, takes ``*`` for
 its last literal. What is left is judged by the part of labelled pages that are bad, smoothed by
@@ -39,7 +39,7 @@ def rule_for(host: Column, path: Column, rules: Mapping[str, str]) -> Column:
     return F.coalesce(*fits, F.lit(None).cast("string"))
 
 
-def grow(pages: DataFrame, *, least: int, share: float, depth: int) -> DataFrame:
+def grow(pages: DataFrame, *, least: int, depth: int) -> DataFrame:
     """``host, path, template, pages`` for every different path; a path deeper than ``depth`` has
     its rest as one segment, which is judged like any other."""
     parts = F.split(F.substring("path", 2, 1 << 30), "/", depth)
@@ -50,8 +50,7 @@ def grow(pages: DataFrame, *, least: int, share: float, depth: int) -> DataFrame
         segment = F.get("parts", F.lit(level))
         inner = rows.where(segment.isNotNull() & (F.col("path") != "")).withColumn("segment", segment)
         counts = inner.groupBy("host", "template", "segment").agg(F.sum("pages").alias("n"))
-        nodes = counts.groupBy("host", "template").agg(F.sum("n").alias("all"))
-        literal = counts.join(nodes, ["host", "template"]).where((F.col("n") >= least) & (F.col("n") >= share * F.col("all")))
+        literal = counts.where(F.col("n") >= least)
         rows = rows.withColumn("segment", F.when(F.col("path") != "", segment))
         rows = rows.join(literal.select("host", "template", "segment", F.lit(True).alias("stays")), ["host", "template", "segment"], "left")
         own = F.when(F.col("stays"), F.col("segment")).otherwise("*")
@@ -71,7 +70,8 @@ def merge(found: DataFrame, labelled: DataFrame, *, least: int, z: float) -> Dat
     for _ in range(rounds - 1):
         now = state.groupBy("host", "final").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         now = now.withColumn("parent", F.regexp_replace("final", literal, "$1*$2"))
-        above = now.where("parent <> final").groupBy("host", "parent").agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
+        # with those that are there already, from an earlier round or from the start
+        above = now.groupBy("host", "parent").agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
         rate = F.col("all_bad") / F.col("all_n")
         rest_n, rest_bad = F.col("all_n") - F.col("n"), F.col("all_bad") - F.col("bad")
         spread = F.sqrt(rate * (1 - rate) * (1 / F.col("n") + 1 / rest_n))
@@ -90,7 +90,6 @@ def judge(
     rules: Mapping[str, str],
     *,
     least: int = 10,
-    share: float = 0.05,
     depth: int = 8,
     z: float = 1.96,
     strength: float = 10.0,
@@ -107,7 +106,7 @@ def judge(
     """
     host, path = host_and_path(F.col(url))
     rows = stage(pages.select(F.col(key).alias("key"), host.alias("host"), path.alias("path")), "pages")
-    paths = grow(rows, least=least, share=share, depth=depth)
+    paths = grow(rows, least=least, depth=depth)
     bad = labels.select(F.col(key).alias("key"), F.col("bad").cast("long").alias("bad")).where("key is not null and bad is not null")
     bad = bad.groupBy("key").agg(F.max("bad").alias("bad"))
     placed = rows.join(paths.drop("pages"), ["host", "path"])
