@@ -206,3 +206,108 @@ def test_urls(spark):
 
 def test_digest_of_no_span():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def plain_templates(pages, labels, least, depth, z, strength, limit):
+    """The verdict of every url: the tree and its merging, host by host, in plain Python."""
+    verdicts = {}
+    every = [labels[k] for k, _ in pages if k in labels]
+    base = sum(every) / len(every) if every else 0.0
+    by_host = {}
+    for k, url in pages:
+        host, _, path = url.partition("://")[2].partition("/")
+        by_host.setdefault(host, []).append((k, path.split("/", depth - 1)))
+    for rows in by_host.values():
+        template = {k: [] for k, _ in rows}
+        for level in range(depth):
+            counts = {}
+            for k, parts in rows:
+                if level < len(parts):
+                    at = (tuple(template[k]), parts[level])
+                    counts[at] = counts.get(at, 0) + 1
+            for k, parts in rows:
+                if level < len(parts):
+                    template[k] = template[k] + [parts[level] if counts[tuple(template[k]), parts[level]] >= least else "*"]
+        final = {k: tuple(t) for k, t in template.items()}
+        for _ in range(max(len(t) for t in final.values())):
+            n, bad, parent = {}, {}, {}
+            for k, t in final.items():
+                last = max((i for i, x in enumerate(t) if x not in ("*", "")), default=None)
+                parent[t] = t if last is None else (*t[:last], "*", *t[last + 1 :])
+                n[t] = n.get(t, 0) + (k in labels)
+                bad[t] = bad.get(t, 0) + labels.get(k, 0)
+            all_n, all_bad = {}, {}
+            for t, p in parent.items():
+                all_n[p], all_bad[p] = all_n.get(p, 0) + n[t], all_bad.get(p, 0) + bad[t]
+            moved = {}
+            for t, p in parent.items():
+                rest = all_n.get(p, 0) - n[t]
+                apart = False
+                if p != t and n[t] >= least and rest >= least:
+                    rate = all_bad[p] / all_n[p]
+                    spread = (rate * (1 - rate) * (1 / n[t] + 1 / rest)) ** 0.5
+                    apart = abs(bad[t] / n[t] - (all_bad[p] - bad[t]) / rest) > z * spread
+                moved[t] = t if apart else p
+            final = {k: moved[t] for k, t in final.items()}
+        own = [labels[k] for k in final if k in labels]
+        of_host = (sum(own) + strength * base) / (len(own) + strength)
+        for t in set(final.values()):
+            those = [k for k, x in final.items() if x == t]
+            known = [labels[k] for k in those if k in labels]
+            purity = (sum(known) + strength * of_host) / (len(known) + strength)
+            verdicts |= dict.fromkeys(those, "block" if purity > limit else "allow")
+    return verdicts
+
+
+def test_small_section_of_a_large_host(spark):
+    """One bad section of forty is blocked on a host where it has a fortieth of the pages."""
+    rows = [(i, f"http://a.com/s{i % 40}/{i}") for i in range(4000)]
+    labels = [(i, int(i % 40 == 7)) for i in range(4000)]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), {}).collect()
+    assert all(r.verdict == ("block" if r.page_id % 40 == 7 else "allow") for r in got)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_templates_against_a_plain_tree(spark, seed):
+    rng = random.Random(seed)
+    rows, labels = [], {}
+    for i in range(1500):
+        section, kind = rng.choice(["news", "spam", "blog", "shop"]), rng.choice(["a", "b", f"u{rng.randint(0, 400)}"])
+        rows.append((i, f"http://h{i % 3}.com/{section}/{kind}/{rng.randint(0, 10**6)}" + ("/x/y" if rng.random() < 0.1 else "")))
+        if rng.random() < 0.5:
+            labels[i] = int(rng.random() < {"spam": 0.95, "shop": 0.6 if kind == "a" else 0.1}.get(section, 0.05))
+    want = plain_templates(rows, labels, 10, 4, 1.96, 10.0, 0.5)
+    frames = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(list(labels.items()), "page_id long, bad int")
+    got = {r.page_id: r.verdict for r in urls.judge(*frames, {}, depth=4).collect()}
+    assert got == want and set(got.values()) == {"block", "allow"}
+
+
+def test_masking_beside_a_column_named_secrets(spark):
+    docs = spark.createDataFrame([(i, f"password: hunter2secret{i}", "mine") for i in range(5)], "doc_id long, text string, secrets string")
+    got = secrets.mask_secrets(docs)
+    assert got.columns == docs.columns and all(r.secrets == "mine" and "hunter2" not in r.text for r in got.collect())
+    assert secrets.find(docs, secrets.train(docs)).columns == ["doc_id", "text", "secrets"]
+
+
+def test_sample_of_equal_rows(spark, monkeypatch):
+    """Many copies of a row count once, and a long text gives a bounded number of parts."""
+    given = []
+    monkeypatch.setattr(secrets, "fit", given.append)
+    docs = spark.createDataFrame([(1, "plain words here")] * 3000 + [(2, "w " * 400_000)], "doc_id long, text string")
+    secrets.train(docs, sample=5, reach=8, apart=400)
+    assert len(given[0]) <= 1 + 51 * 5
+
+
+def test_evidence_names_neighbours(spark):
+    """Keys and cosines of the nearest examples, against all examples in plain Python."""
+    rng = random.Random(5)
+    rows = [(i, words(rng, 20) + (" vile grub" if i % 4 == 0 else "")) for i in range(200)] + [(0, "another text of key nought")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    index = toxicity.train(docs, labels, k=5)
+    assert len(index.keys) <= 200
+    got = toxicity.score(docs.withColumn("evidence", F.lit(1)), index, k=5).collect()
+    for r in got:
+        near = [int(e.key) for e in r.evidence]
+        assert r.predicted == int("vile" in r.text) and bool(near) == ("vile" in r.text)
+        assert all(i % 4 == 0 for i in near) and [e.cosine for e in r.evidence] == sorted((e.cosine for e in r.evidence), reverse=True)
