@@ -79,6 +79,79 @@ def video_codec_probe(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(SEGMENT, ORDINAL, images.video_codec_probe(F.col("sample")).alias("codec"))
 
 
+def _golomb(value: Column) -> Column:
+    bits = F.bin(value + 1)
+    return F.concat(F.repeat(F.lit("0"), F.length(bits) - 1), bits)
+
+
+def h264_packet(across: Column, down: Column) -> Column:
+    """A packet that opens with a baseline parameter set, for so many blocks of 16 pixels."""
+    one = [F.lit("1"), F.lit("1"), F.lit("011"), F.lit("010"), F.lit("0")]
+    bits = F.concat(*one, _golomb(across.cast("long") - 1), _golomb(down.cast("long") - 1), F.lit("11001"))
+    size = (F.ceil(F.length(bits) / 8) * 8).cast("int")
+    body = F.lpad(F.conv(F.rpad(bits, size, F.lit("0")), 2, 16), F.call_function("div", size, F.lit(4)).cast("int"), F.lit("0"))
+    return F.concat(_bytes("000000016742001E"), F.unhex(body), _bytes("0000000165"), F.encode("props", "UTF-8"))
+
+
+def sized_cameras(spark: SparkSession, sf: str) -> DataFrame:
+    """The camera table with parameter sets in all packets and PNG headers in all images."""
+    key, k, value = F.col("camera_key"), F.col("k"), F.col("value")
+    packet = h264_packet(k + 1, F.floor(value) + 1)
+    png = F.concat(_bytes("89504E470D0A1A0A0000000D49484452"), _number(k + 16), _number(F.floor(value) + 1), _bytes("0802000000"))
+    sample = F.when(key == "front", packet).when(key == "wrist", png).otherwise(F.col("sample"))
+    return camera_table(spark, sf).withColumn("sample", sample)
+
+
+def wide_recording(spark: SparkSession, sf: str) -> DataFrame:
+    """The recording with three cameras as columns."""
+    key = F.col("camera_key")
+    held = sized_cameras(spark, sf).select(
+        SEGMENT,
+        ORDINAL,
+        F.when(key == "front", F.col("sample")).alias("/cam/front:VideoStream:sample"),
+        F.when(key == "wrist", F.array("sample")).alias("/cam/wrist:EncodedImage:blob"),
+        F.when(key == "depth", F.col("sample")).alias("/cam/depth:Image:buffer"),
+        F.col("format").alias("/cam/depth:Image:format"),
+    )
+    return t.recording(spark, sf).join(held, [SEGMENT, ORDINAL], "left")
+
+
+@query(f"with {CAM} select segment_id, ordinal, 'h264' codec, 16 * (cast(floor(value) as int) + 1) height, 16 * (cast(k as int) + 1) width from cam where camera_key='front'")
+def stream_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Size of every packet that carries a parameter set."""
+    from framewright.functions import video
+
+    rows = sized_cameras(spark, sf).where("camera_key = 'front'").withColumn("codec", images.video_codec_probe(F.col("sample")))
+    return rows.select(SEGMENT, ORDINAL, "codec", video.stream_size(F.col("sample"), F.col("codec")).alias("s")).select(SEGMENT, ORDINAL, "codec", "s.*")
+
+
+@query(
+    f"""with {CAM}, f as (select segment_id, camera_key, arg_min(k, ordinal) k, arg_min(floor(value), ordinal) v from cam group by 1, 2)
+ select segment_id, 'observation.images.' || camera_key feature, case camera_key when 'wrist' then 'image' else 'video' end dtype,
+ case camera_key when 'front' then 16 * (cast(v as bigint) + 1) when 'wrist' then cast(v as bigint) + 1 else 2 end height,
+ case camera_key when 'front' then 16 * (cast(k as bigint) + 1) when 'wrist' then cast(k as bigint) + 16 else 2 end width, 3 channels from f"""
+)
+def camera_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature of every camera of every segment, from its own first sample."""
+    rows = sized_cameras(spark, sf)
+    key = F.col("camera_key")
+    kinds = rows.select(*KEYS).distinct().withColumn("path", F.concat(F.lit("/cam/"), key))
+    kinds = kinds.withColumn("kind", F.when(key == "front", "video").when(key == "wrist", "encoded_image").otherwise("raw_image"))
+    samples = cameras.first_samples(rows)
+    found = cameras.camera_features(cameras.resolve_cameras(kinds, samples, None, KEYS), samples, KEYS)
+    shape = F.col("shape")
+    return found.select(SEGMENT, "feature", "dtype", shape[0].alias("height"), shape[1].alias("width"), shape[2].alias("channels"))
+
+
+@query(f"with {CAM} select segment_id, camera_key, ordinal, time_ns from cam")
+def camera_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of three cameras of a wide recording, found in one pass."""
+    from framewright.sources import recordings as rec
+
+    found = rec.camera_index(wide_recording(spark, sf), [(f"/cam/{c}", c, TIME) for c in ALL])
+    return found.where("size_bytes > 0").select(*KEYS, ORDINAL, TIME)
+
+
 @query(
     f"""with {CAM} select segment_id, ordinal, cast(case when k < 30 then 4 when k < 60 then 3 else 1 end as int) channels,
  case when k < 30 then 'RGBA' when k < 60 then 'RGB' else 'L' end color_model,
@@ -370,12 +443,7 @@ def frame_pick(spark: SparkSession, sf: str) -> DataFrame:
  select episode_index, camera_key, frame_index, frame_ordinal from al join e using (segment_id)"""
 )
 def convert_with_cameras(spark: SparkSession, sf: str) -> DataFrame:
-    """A conversion with three cameras: the frame of every camera for every row."""
-    rows = camera_table(spark, sf)
-    wide = t.recording(spark, sf)
-    for path in ("front:VideoStream:sample", "wrist:EncodedImage:blob", "depth:Image:buffer"):
-        wide = wide.withColumn(f"/cam/{path}", F.lit(None).cast("binary"))
-    sized = rows.withColumn("format", F.struct(F.lit(2).alias("width"), F.lit(2).alias("height")))
+    """A conversion of a wide recording with three cameras: the frame of every camera for every row."""
     config = dataclasses.replace(CONFIG, videos=[VideoSpec(k, f"/cam/{k}") for k in ALL])
-    done = convert.convert_dataset(wide, config, cameras=sized)
+    done = convert.convert_dataset(wide_recording(spark, sf), config)
     return done.camera_frames.select("episode_index", "camera_key", "frame_index", "frame_ordinal")

@@ -30,6 +30,16 @@ def blob_to_bytes(value: Column, kind: T.DataType) -> Column:
     return _join_bytes(value.cast("array<int>"))
 
 
+def blob_length(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a blob column, without making them one value; null where ``blob_to_bytes`` is null."""
+    if isinstance(kind, T.BinaryType):
+        return F.octet_length(value).cast("long")
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.BinaryType):
+        return F.octet_length(F.get(value, F.lit(0))).cast("long")
+    flat = flatten_all(F.get(value, F.lit(0)), kind.elementType) if isinstance(kind.elementType, T.ArrayType) else value
+    return F.when(flat.isNotNull(), F.size(flat)).cast("long")
+
+
 def _head(blob: Column, start: int, length: int) -> Column:
     return F.hex(F.substring(blob, start, length))
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.functions import images, names, rules
+from framewright.functions.video import stream_size
 from framewright.operators.align import ORDINAL, SEGMENT, TIME, latest_at_frames, rebase
 from framewright.operators.scans import ROWS_PER_CHUNK, number_rows, plan_chunks
 from framewright.session import stage
@@ -37,9 +39,22 @@ def camera_kinds(specs: DataFrame, columns: DataFrame, keys: Sequence[str] = ())
     return found.withColumn("error", error).drop(*[f"_{k}" for k in names.SAMPLE_SUFFIX])
 
 
-def first_samples(cameras: DataFrame, keys: Sequence[str] = (SEGMENT, CAMERA)) -> DataFrame:
-    """First stored sample of each camera; the first ordinal is found without reading any bytes."""
-    first = cameras.where(F.col("sample").isNotNull()).groupBy(*keys).agg(F.min(ORDINAL).alias(ORDINAL))
+def camera_index(cameras: DataFrame) -> DataFrame:
+    """The frames of a camera table without their bytes, but with their number of bytes."""
+    held = cameras.where(F.col("sample").isNotNull())
+    return held.select(SEGMENT, CAMERA, ORDINAL, TIME, F.octet_length("sample").cast("long").alias("size_bytes"))
+
+
+def _frames(cameras: DataFrame) -> DataFrame:
+    """Frames by place and time, of a camera table or of its index."""
+    held = cameras.where(F.col("sample").isNotNull()) if "sample" in cameras.columns else cameras
+    return held.select(SEGMENT, CAMERA, ORDINAL, TIME)
+
+
+def first_samples(cameras: DataFrame, keys: Sequence[str] = (SEGMENT, CAMERA), index: DataFrame | None = None) -> DataFrame:
+    """First stored sample of each camera; with the ``index`` only the bytes of these are looked at."""
+    known = cameras.where(F.col("sample").isNotNull()) if index is None else index
+    first = known.groupBy(*keys).agg(F.min(ORDINAL).alias(ORDINAL))
     return cameras.join(first, [*keys, ORDINAL], "left_semi")
 
 
@@ -81,9 +96,10 @@ def camera_align(
     ``targets`` holds segment_id, ordinal, time_ns and frame_index of the output rows.
     Cameras in ``elapsed`` live on another timeline: their rows and the output rows are
     both counted from their own start, which for ``video`` cameras is the first stored
-    packet and for images the earliest one. Only ordinals are matched; no bytes move.
+    packet and for images the earliest one. Only ordinals are matched; no bytes move, and
+    with a camera index for ``cameras`` none are read.
     """
-    frames = cameras.where(F.col("sample").isNotNull()).select(SEGMENT, CAMERA, ORDINAL, TIME)
+    frames = _frames(cameras)
     wanted = targets.select(SEGMENT, ORDINAL, TIME, "frame_index")
 
     def ask(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -112,20 +128,48 @@ def camera_align(
     return latest_at_frames(asked, shown, [SEGMENT, CAMERA], counted=keys, rows_per_chunk=rows_per_chunk)
 
 
-def frame_pick(aligned: DataFrame, cameras: DataFrame) -> DataFrame:
-    """Camera rows that at least one output row uses, each once, with their bytes."""
+def used_frames(aligned: DataFrame) -> DataFrame:
+    """``segment_id, camera_key, bucket, bits``: a bit for each frame that some output row uses.
+
+    A row stands for 32,768 ordinals of a camera and has at most 4 KB; it ends with its last bit.
+    """
     used = aligned.where(F.col("frame_ordinal").isNotNull())
-    used = used.select(SEGMENT, CAMERA, F.col("frame_ordinal").alias(ORDINAL)).distinct()
-    return cameras.join(used, [SEGMENT, CAMERA, ORDINAL], "left_semi")
+    place = F.bitmap_bit_position(F.col("frame_ordinal"))
+    bits = used.groupBy(SEGMENT, CAMERA, F.bitmap_bucket_number(F.col("frame_ordinal")).alias("bucket"))
+    found = bits.agg(F.bitmap_construct_agg(place).alias("bits"), F.max(place).alias("_last"))
+    length = F.call_function("div", F.col("_last"), F.lit(8)).cast("int") + 1
+    return found.select(SEGMENT, CAMERA, "bucket", F.substring("bits", F.lit(1), length).alias("bits"))
+
+
+def frame_pick(aligned: DataFrame, cameras: DataFrame, *, most_bytes: int = 64 << 20) -> DataFrame:
+    """Camera rows that at least one output row uses, each once, with their bytes.
+
+    The rows in use are written as bitmaps. These go to the camera rows, so that bytes nobody
+    uses are dropped where they are read: at once up to ``most_bytes`` of bitmaps, else in as
+    many passes over the cameras as it takes, each with its share of the bitmaps.
+    """
+    marked = stage(used_frames(aligned), "used-frames")
+    held = marked.agg(F.coalesce(F.sum(F.octet_length("bits") + 64), F.lit(0))).first()[0]
+    passes = max(1, -(-int(held) // most_bytes))
+    place = F.bitmap_bit_position(F.col(ORDINAL))
+    byte = F.hex(F.substring("bits", F.call_function("div", place, F.lit(8)).cast("int") + 1, F.lit(1)))
+    bit = F.call_function("shiftright", F.conv(byte, 16, 10).try_cast("int"), F.pmod(place, F.lit(8)).cast("int"))
+    keys = [SEGMENT, CAMERA, "bucket"]
+    rows = cameras.withColumn("bucket", F.bitmap_bucket_number(F.col(ORDINAL)))
+    found = []
+    for turn in range(passes):
+        own = marked.where(F.pmod(F.xxhash64(*keys), F.lit(passes)) == turn)
+        found.append(rows.join(F.broadcast(own), keys).where(bit.bitwiseAND(F.lit(1)) == 1).select(*cameras.columns))
+    return reduce(DataFrame.unionByName, found)
 
 
 def packet_manifest(cameras: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Packets of every camera in stored order, with times counted from the first packet.
 
-    The order and the times are worked out without the bytes.
+    ``cameras`` may be a camera index; the order and the times are worked out without the bytes.
     """
     keys = [SEGMENT, CAMERA]
-    packets = cameras.where(F.col("sample").isNotNull()).select(*keys, ORDINAL, TIME)
+    packets = _frames(cameras)
     chunks = plan_chunks(packets, keys, [ORDINAL], rows_per_chunk=rows_per_chunk)
     numbered = number_rows(packets, "packet_index", chunks)
     return rebase(numbered, keys, by_stored_order=True).withColumnRenamed(TIME, "pts_ns")
@@ -161,13 +205,16 @@ def decode_raw(cameras: DataFrame) -> DataFrame:
 def camera_features(resolved: DataFrame, samples: DataFrame, keys: Sequence[str] = (CAMERA,)) -> DataFrame:
     """(height, width, 3) of every camera, from the format of raw frames or the header of images.
 
-    Packets carry no readable size, so a video camera takes it from its ``format`` row.
+    A video takes the declared size if there is one (``declared``, width and height), else that
+    of the parameter set in its packet, else its ``format`` row.
     """
-    size = images.image_size(F.when(F.col("kind") == "encoded_image", F.col("sample")))
+    still = images.image_size(F.when(F.col("kind") == "encoded_image", F.col("sample")))
+    shown = stream_size(F.when(F.col("kind") == "video", F.col("sample")), F.col("source_codec"))
     rows = resolved.join(samples.select(*keys, "sample", "format"), list(keys), "left")
-    rows = rows.withColumn("_size", size)
-    height: Column = F.coalesce(F.col("_size.height"), F.col("format.height").cast("int"))
-    width: Column = F.coalesce(F.col("_size.width"), F.col("format.width").cast("int"))
+    rows = rows.withColumns({"_still": still, "_shown": shown})
+    declared = {n: F.col(f"declared.{n}") if "declared" in resolved.columns else F.lit(None).cast("int") for n in ("height", "width")}
+    size = {n: F.coalesce(declared[n], F.col(f"_still.{n}"), F.col(f"_shown.{n}"), F.col(f"format.{n}").cast("int")) for n in declared}
+    height, width = size["height"], size["width"]
     known = height.isNotNull() & width.isNotNull()
     return rows.select(
         *keys,

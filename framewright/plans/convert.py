@@ -72,7 +72,8 @@ def read_features(inferred: DataFrame) -> dict[str, dict[str, object]]:
 def _resolve(recording: DataFrame, samples: DataFrame, config: ConversionConfig) -> DataFrame:
     spark = recording.sparkSession
     specs = spark.createDataFrame(
-        [(v.key, v.path, v.video_format) for v in config.videos], "camera_key string, path string, video_format string"
+        [(v.key, v.path, v.video_format, v.size) for v in config.videos],
+        "camera_key string, path string, video_format string, declared struct<width:int,height:int>",
     )
     columns = spark.createDataFrame([(c,) for c in recording.columns], "name string")
     return cam.resolve_cameras(cam.camera_kinds(specs, columns), samples, config.output_format)
@@ -171,12 +172,18 @@ def convert_dataset(
     rows = ep.prepare(recording, config)
     features = read_features(prof.infer_features(rows.where(F.col(SEGMENT) == first), config))
 
-    resolved, encoder = None, "h264"
+    resolved, index, encoder = None, None, "h264"
     if config.videos:
         if cameras is None:
             parts = [rec.camera_reader(recording, v.path, v.key, config.camera_timeline(v)) for v in config.videos]
             cameras = rec.union_recordings(parts)
-        samples = cam.first_samples(cameras.where(F.col(SEGMENT) == first)).drop(SEGMENT)
+            found = rec.camera_index(recording, [(v.path, v.key, config.camera_timeline(v)) for v in config.videos])
+        else:
+            found = cam.camera_index(cameras)
+        # what follows asks this table where and when frames are; bytes are read again only to be written
+        index = stage(found, "camera-index")
+        here = F.col(SEGMENT) == first
+        samples = stage(cam.first_samples(cameras.where(here), index=index.where(here)).drop(SEGMENT), "first-samples")
         resolved = stage(_resolve(recording, samples, config), "cameras")
         features |= read_features(cam.camera_features(resolved, samples))
         encoder = rules.ENCODERS.get((config.output_format or "").lower(), "h264")
@@ -187,14 +194,14 @@ def convert_dataset(
         chosen = rec.filter_segments(recording, wanted)
     action_dim, state_dim = features[ep.ACTION]["shape"][0], features[ep.STATE]["shape"][0]
     dense = stage(ep.build_episodes(chosen, config, action_dim=action_dim, state_dim=state_dim), "aligned")
-    lacking = None if resolved is None else _camera_errors(profile, cameras, config)
+    lacking = None if resolved is None else _camera_errors(profile, index, config)
     dataset = finalize_dataset(dense, profile, config, features, lacking=lacking, encoder=encoder)
-    return dataset if resolved is None else _with_cameras(dataset, dense, cameras, resolved, config)
+    return dataset if resolved is None else _with_cameras(dataset, dense, cameras, index, resolved, config)
 
 
-def _camera_errors(profile: DataFrame, cameras: DataFrame, config: ConversionConfig) -> DataFrame:
+def _camera_errors(profile: DataFrame, index: DataFrame, config: ConversionConfig) -> DataFrame:
     """Segments that lack frames of a camera fail, like those that lack a scalar column."""
-    held = cameras.where(F.col("sample").isNotNull()).groupBy(SEGMENT, cam.CAMERA).agg(F.count(F.lit(1)).alias("_n"))
+    held = index.groupBy(SEGMENT, cam.CAMERA).agg(F.count(F.lit(1)).alias("_n"))
     wanted = F.array(*[F.lit(v.key) for v in config.videos])
     asked = profile.where(F.col("length") > 0).select(SEGMENT, F.explode(wanted).alias(cam.CAMERA))
     lacking = asked.join(held, [SEGMENT, cam.CAMERA], "left_anti").groupBy(SEGMENT).agg(F.min(cam.CAMERA).alias("_camera"))
@@ -203,13 +210,11 @@ def _camera_errors(profile: DataFrame, cameras: DataFrame, config: ConversionCon
 
 
 def _with_cameras(
-    dataset: Dataset, dense: DataFrame, cameras: DataFrame, resolved: DataFrame, config: ConversionConfig
+    dataset: Dataset, dense: DataFrame, cameras: DataFrame, index: DataFrame, resolved: DataFrame, config: ConversionConfig
 ) -> Dataset:
     keys = [SEGMENT, cam.CAMERA]
     numbered = dataset.episodes.select(SEGMENT, "episode_index")
-    rows = cameras.select(*keys, ORDINAL, TIME, F.col("sample").isNotNull().alias("sample"))
-    packets = rows.where("sample")
-    measured = rates.source_fps(packets, keys, rows_per_chunk=config.rows_per_chunk)
+    measured = rates.source_fps(index, keys, rows_per_chunk=config.rows_per_chunk)
     plan = rates.episode_video_plan(measured, resolved, config.fps)
     plan = stage(plan.join(numbered, [SEGMENT]), "camera-plan")
 
@@ -220,14 +225,14 @@ def _with_cameras(
     videos = [r[cam.CAMERA] for r in resolved.where(F.col("kind") == "video").select(cam.CAMERA).collect()]
     aligned = cam.camera_align(
         targets,
-        cameras,
+        index,
         [v.key for v in config.videos],
         elapsed=elapsed,
         video=videos,
         rows_per_chunk=config.rows_per_chunk,
     )
     copied = plan.where(F.col("mode") == "copy").select(*keys, "episode_index")
-    manifest = cam.packet_manifest(cameras, rows_per_chunk=config.rows_per_chunk).join(copied, keys)
+    manifest = cam.packet_manifest(index, rows_per_chunk=config.rows_per_chunk).join(copied, keys)
     return replace(
         dataset, camera_plan=plan, camera_frames=aligned.join(numbered, [SEGMENT]), cameras=cameras, packets=manifest
     )

@@ -156,6 +156,26 @@ def camera_reader(recording: DataFrame, path: str, key: str, index: str) -> Data
     return rows.where(F.col("sample").isNotNull() & F.col(TIME).isNotNull())
 
 
+def camera_index(recording: DataFrame, cameras: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """``segment_id, camera_key, ordinal, time_ns, size_bytes``: one row per frame of several cameras.
+
+    ``cameras`` are (path, key, index). All are read in one pass, and nothing but the length is
+    taken of a blob: rows without a frame go before anything is converted.
+    """
+    held = []
+    for path, key, index in cameras:
+        present = [path + c for c in names.SAMPLE_SUFFIX.values() if path + c in recording.columns]
+        if not present:
+            raise ValueError(f"no supported frames at {path!r}")
+        size = images.blob_length(F.col(f"`{present[0]}`"), recording.schema[present[0]].dataType)
+        time = times.normalize_times(recording, index)
+        cell = F.struct(F.lit(key).alias("camera_key"), time.alias(TIME), size.alias("size_bytes"))
+        held.append(F.when(size.isNotNull() & time.isNotNull(), cell))
+    return recording.select(SEGMENT, ORDINAL, F.explode(F.array_compact(F.array(*held))).alias("_c")).select(
+        SEGMENT, "_c.camera_key", ORDINAL, f"_c.{TIME}", "_c.size_bytes"
+    )
+
+
 def segment_sizes(table: DataFrame, *, segment: str = SEGMENT, size: str = "size_bytes") -> DataFrame:
     """Bytes of every segment; an unknown size counts as 0."""
     return table.groupBy(F.col(segment).alias(SEGMENT)).agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("size_bytes"))
