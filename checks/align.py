@@ -197,12 +197,19 @@ def merge_instants(spark: SparkSession, sf: str) -> DataFrame:
     return merged.select(SEGMENT, TIME, ORDINAL, t.centi(q(S)).alias("state"), t.centi(F.flatten(q(A))).alias("action"))
 
 
-@query(
-    f"""with {t.rec_sql()} select segment_id, ordinal, time_ns, '/robot/state' entity_path, 'Scalars' component, 'scalars' field,
- {t.centi_sql('s')} v from rec where s is not null"""
-)
+LONG_SQL = "long as (" + " union all ".join(
+    f"select segment_id, ordinal, time_ns, '{name.split(':')[0]}' entity_path, {t.centi_sql(c)} v from rec where {c} is not null" for c, name in (("a", A), ("s", S), ("g", G))
+) + ")"
+
+
+def long_log(spark: SparkSession, sf: str) -> DataFrame:
+    """All vector columns of the recording in long form."""
+    return rec.unpivot_recording(t.recording(spark, sf), [A, S, G])
+
+
+@query(f"with {t.rec_sql()}, {LONG_SQL} select segment_id, ordinal, time_ns, entity_path, 'Scalars' component, 'scalars' field, v from long")
 def unpivot_recording(spark: SparkSession, sf: str) -> DataFrame:
-    long = rec.unpivot_recording(t.recording(spark, sf), [S])
+    long = long_log(spark, sf)
     return long.select(SEGMENT, ORDINAL, TIME, "entity_path", "component", "field", t.centi(F.col("value")).alias("v"))
 
 
@@ -314,15 +321,13 @@ def first_non_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""with {t.rec_sql()}, o as (select segment_id, g, row_number() over (partition by segment_id order by time_ns, ordinal) - 1 place
- from rec where g is not null) select segment_id, place, {t.centi_sql('g')} gripper from o where place < 3"""
+    f"""with {t.rec_sql()}, {LONG_SQL}, o as (select *, row_number() over (partition by segment_id, entity_path order by time_ns, ordinal) - 1 place from long)
+ select segment_id, entity_path, place, v from o where place < 3"""
 )
 def head_per_column(spark: SparkSession, sf: str) -> DataFrame:
-    """The first rows of a column of every segment."""
-    rows = align.index_reader(t.recording(spark, sf), [G])
-    chunks = plan_chunks(rows, [SEGMENT], [TIME, ORDINAL])
-    placed = number_rows(rows, "place", chunks).where("place < 3")
-    return placed.select(SEGMENT, "place", t.centi(F.flatten(q(G))).alias("gripper"))
+    """The first rows of every vector column of every segment."""
+    found = profile.heads(long_log(spark, sf), 3)
+    return found.select(SEGMENT, "entity_path", "place", t.centi(F.col("value")).alias("v"))
 
 
 @query(f"with {t.rec_sql(day=True)} select segment_id, ordinal, row_number() over (partition by segment_id order by time_ns, ordinal) - 1 place from rec")
@@ -491,15 +496,17 @@ def split_dataset_url(spark: SparkSession, sf: str) -> DataFrame:
 def refuse_existing_output(spark: SparkSession, sf: str) -> DataFrame:
     """Writing a second time to the same place is refused and leaves the first result whole."""
     from framewright.operators import episodes as ep
+    from framewright.plans.convert import refuse_existing
     from framewright.sources import sinks
 
     path = scratch_path(spark, "refuse")
     frames = ep.build_episodes(t.recording(spark, sf), CONFIG)
     frames = frames.select(F.col(SEGMENT).alias("episode_index"), "frame_index", "task")
+    refuse_existing(spark, path)
     sinks.write_frames(frames, path)
     refused = False
     try:
-        sinks.write_frames(frames.limit(0), path)
-    except Exception as error:  # noqa: BLE001 - the class differs between Spark versions
-        refused = "PATH_ALREADY_EXISTS" in str(error)
+        refuse_existing(spark, path)
+    except ValueError as error:
+        refused = path in str(error)
     return spark.read.parquet(f"{path}/data").agg(F.count("*").alias("frames")).withColumn("refused", F.lit(refused))

@@ -175,17 +175,21 @@ def raw_to_rgb(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(SEGMENT, ORDINAL, "channels", F.hex("image.data").alias("rgb"), "error")
 
 
-@query(f"with {CAM} select segment_id, ordinal, octet_length(encode(props)) + 8 bytes from cam where camera_key='front' and k >= 25")
+@query(
+    f"""with {CAM} select segment_id, camera_key, ordinal, true same, case when camera_key = 'front' then
+ upper(md5(unhex(case when k < 10 then '0000000140010C' when k < 20 then '12000A0B' when k < 25 then 'FFFF' else '0000000167420000' end || hex(encode(props))))) end digest from cam"""
+)
 def blob_to_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    """Bytes that arrive as a list of lists of numbers."""
-    rows = camera_table(spark, sf).where("camera_key = 'front' and k >= 25")
+    """Bytes of every camera that arrive as a list of lists of numbers."""
+    rows = camera_table(spark, sf)
     digits = F.hex("sample")
     places = F.sequence(F.lit(0), F.octet_length("sample") - 1)
     numbers = F.transform(places, lambda i: F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
-    nested = rows.select(SEGMENT, ORDINAL, "sample", F.array(numbers).alias("blob"))
+    nested = rows.select(*KEYS, ORDINAL, "sample", F.array(numbers).alias("blob"))
     back = images.blob_to_bytes(F.col("blob"), nested.schema["blob"].dataType)
-    same = nested.select(SEGMENT, ORDINAL, "sample", back.alias("back")).where("sample = back")
-    return same.select(SEGMENT, ORDINAL, F.octet_length("back").cast("long").alias("bytes"))
+    made = nested.select(*KEYS, ORDINAL, "sample", back.alias("back"))
+    digest = F.when(F.col("camera_key") == "front", F.upper(F.md5("back")))
+    return made.select(*KEYS, ORDINAL, (F.col("sample") == F.col("back")).alias("same"), digest.alias("digest"))
 
 
 FORMATS = f"""with {CAM}, r as (select segment_id, ordinal, case camera_key when 'front' then 'video' when 'wrist' then 'encoded_image' else 'raw_image' end kind,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.config import ConversionConfig
@@ -119,6 +119,16 @@ def infer_features(recording: DataFrame, config: ConversionConfig) -> DataFrame:
     return action.unionByName(state)
 
 
+def heads(log: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` rows of every column of every segment by time, with their ``place`` from 0.
+
+    ``log`` is in long form. Spark keeps that many rows of a column per task before it shuffles.
+    """
+    column = Window.partitionBy(SEGMENT, "entity_path", "component", "field").orderBy(TIME, ORDINAL)
+    ranked = log.withColumn("_rank", F.row_number().over(column)).where(F.col("_rank") <= most)
+    return ranked.withColumn("place", (F.col("_rank") - 1).cast("long")).drop("_rank")
+
+
 def index_range(recording: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Range, row count and suggested rate of the timeline of every segment."""
     rows = recording.select(SEGMENT, ORDINAL, TIME).where(_q(TIME).isNotNull())

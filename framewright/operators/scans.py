@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from framewright.session import stage
 
@@ -30,9 +29,9 @@ class Chunks:
     """Where the chunks of large groups begin.
 
     ``groups`` has one row per large group and ``cells`` one per cell of it; both are None
-    when no group is large. A cell is an even slice of the range of the first order
-    column. It knows how many chunks begin before it and the positions at which chunks
-    begin inside it, usually none or one, so a row finds its chunk with an equi-join.
+    when no group is large. A group of n chunks has about the square root of n cells of as many
+    chunk starts each, however the positions are spread; the group's row knows where its cells
+    begin. A row finds its cell and then its chunk by halving, with equi-joins only.
     """
 
     keys: tuple[str, ...]
@@ -81,31 +80,15 @@ def plan_chunks(
     ranked = sampled.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("_at")))
     begins = stage(ranked.where(F.col("_rank") % max(1, rows_per_chunk // every) == 0), "chunk-begins")
 
-    along = _along(F.col("_at")[order[0]], begins.schema["_at"].dataType[order[0]].dataType)
-    spans = begins.groupBy(*keys).agg(
-        F.min(along).alias("_low"), F.max(along).alias("_high"), F.count(F.lit(1)).cast("int").alias("_cells")
-    )
-    width = F.greatest((F.col("_high") - F.col("_low")) / F.col("_cells"), F.lit(1.0))
-    groups = stage(spans.select(*keys, "_low", width.alias("_width"), "_cells"), "chunk-groups")
-
-    held = begins.join(groups, list(keys)).withColumn("_cell", _cell(along))
-    held = held.groupBy(*keys, "_cell").agg(F.array_sort(F.collect_list("_at")).alias("_begins"))
-    every_cell = groups.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("_cell"))
-    cells = every_cell.join(held, [*keys, "_cell"], "left")
-    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.when(F.col("_begins").isNull(), 0).otherwise(F.size("_begins"))
-    cells = cells.withColumn("_base", F.coalesce(F.sum(inside).over(earlier), F.lit(0)).cast("int"))
-    return Chunks(keys, order, groups, stage(cells, "chunk-cells"))
-
-
-def _along(first: Column, kind: T.DataType) -> Column:
-    """A number that never falls when the first order column rises."""
-    return first.cast("double") if isinstance(kind, T.NumericType) else F.lit(0.0)
-
-
-def _cell(along: Column) -> Column:
-    place = F.floor((along - F.col("_low")) / F.col("_width"))
-    return F.greatest(F.least(place, (F.col("_cells") - 1).cast("long")), F.lit(0).cast("long")).cast("int")
+    # equal numbers of starts in each cell, whatever the type or the spread of the positions
+    group = Window.partitionBy(*keys)
+    step = F.ceil(F.sqrt(F.count(F.lit(1)).over(group))).cast("int")
+    placed = begins.select(*keys, "_at", (F.row_number().over(group.orderBy("_at")) - 1).alias("_place"), step.alias("_step"))
+    placed = placed.withColumn("_cell", F.call_function("div", F.col("_place"), F.col("_step")).cast("int"))
+    held = placed.groupBy(*keys, "_cell").agg(F.array_sort(F.collect_list("_at")).alias("_begins"), F.min("_place").alias("_base"))
+    cells = stage(held, "chunk-cells")
+    groups = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.get("_begins", F.lit(0)))).alias("_edges"))
+    return Chunks(keys, order, stage(groups, "chunk-groups"), cells)
 
 
 def _begun(begins: Column, at: Column) -> Column:
@@ -129,18 +112,13 @@ def _begun(begins: Column, at: Column) -> Column:
 def _find_chunk(df: DataFrame, chunks: Chunks, how: str) -> DataFrame:
     # No broadcast hints: both tables are written and of known size. Spark broadcasts
     # them below its threshold; above it the cells spread a large group by themselves.
-    kind = df.schema[chunks.order[0]].dataType
+    at = _position(chunks.order)
     located = df.join(chunks.groups, list(chunks.keys), how)
-    located = located.withColumn("_cell", _cell(_along(F.col(f"`{chunks.order[0]}`"), kind)))
-    located = located.join(chunks.cells, [*chunks.keys, "_cell"], how)
-    begins, at = F.col("_begins"), _position(chunks.order)
-    inside = (
-        F.when(begins.isNull(), 0)
-        .when(F.size(begins) == 1, (F.get(begins, F.lit(0)) <= at).cast("int"))
-        .otherwise(_begun(begins, at))
-    )
+    cell = F.when(F.col("_edges").isNotNull(), F.greatest(_begun(F.col("_edges"), at) - 1, F.lit(0)))
+    located = located.withColumn("_cell", cell.cast("int")).join(chunks.cells, [*chunks.keys, "_cell"], how)
+    inside = F.when(F.col("_begins").isNull(), 0).otherwise(_begun(F.col("_begins"), at))
     found = located.withColumn(CHUNK, F.coalesce(F.col("_base") + inside, F.lit(0)))
-    return found.drop("_low", "_width", "_cells", "_cell", "_begins", "_base")
+    return found.drop("_edges", "_cell", "_begins", "_base")
 
 
 def with_chunk(df: DataFrame, chunks: Chunks) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.functions import images, names, times
+from framewright.functions import images, names, times, vectors
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
 from framewright.operators.scans import number_all
 
@@ -121,7 +121,7 @@ def merge_instants(recording: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def unpivot_recording(recording: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The long form of the numeric columns of a wide recording."""
-    cells = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("array<float>").alias("value")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("name"), vectors.flatten_all(F.col(f"`{c}`"), recording.schema[c].dataType).cast("array<float>").alias("value")) for c in columns]
     present = F.filter(F.array(*cells), lambda cell: cell["value"].isNotNull())
     long = recording.select(SEGMENT, ORDINAL, TIME, F.explode(present).alias("_cell"))
     parts = names.column_parts(F.col("_cell.name"))

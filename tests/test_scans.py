@@ -80,3 +80,28 @@ def test_is_sorted(spark, limit):
     df = spark.createDataFrame(rows, "segment_id string, ordinal long, time_ns long")
     got = {r.segment_id: r.sorted for r in profile.is_sorted(df, rows_per_chunk=limit).collect()}
     assert got == {"up": True, "down": False}
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "string"])
+def test_even_cells(spark, kind):
+    """A clock that jumps, and text, leave about as many chunk starts in every cell."""
+    at = F.when(F.col("id") < 2000, F.col("id")).otherwise(F.col("id") + 10**15).cast("string")
+    at = F.lpad(at, 20, "0") if kind == "string" else at.cast(kind)
+    df = spark.range(2001).select(F.lit("hot").alias("k"), at.alias("at"), "id")
+    chunks = scans.plan_chunks(df, ["k"], ["at"], rows_per_chunk=20)
+    starts = [len(r._begins) for r in chunks.cells.collect()]
+    assert sum(starts) > 20 and max(starts) <= 1 + sum(starts) ** 0.5 and len(starts) <= 1 + sum(starts) ** 0.5
+    sizes = [r["count"] for r in scans.with_chunk(df, chunks).groupBy("k", scans.CHUNK).count().collect()]
+    assert len(sizes) == sum(starts) + 1 and max(sizes) < 200
+    got = scans.number_rows(df, "n", chunks).collect()
+    assert all(r.n == r.id for r in got) and len(got) == 2001
+
+
+def test_heads(spark):
+    """The first rows of each column; Spark limits each group before it shuffles."""
+    rows = [(s, o, 100 - o // 2, e, "Scalars", "scalars", float(o)) for s in ("a", "b") for e in ("/x", "/y") for o in range(20)]
+    log = spark.createDataFrame(rows, "segment_id string, ordinal long, time_ns long, entity_path string, component string, field string, value double")
+    heads = profile.heads(log, 3)
+    assert heads._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+    got = sorted((r.segment_id, r.entity_path, r.place, r.ordinal) for r in heads.collect())
+    assert got == sorted((s, e, p, o) for s in "ab" for e in ("/x", "/y") for p, o in ((0, 18), (1, 19), (2, 16)))
