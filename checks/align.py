@@ -93,6 +93,24 @@ def read_recordings_mixed(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.substring_index(SEGMENT, "/", 1).alias("folder"), "event_id", "value", "props")
 
 
+@query(
+    """select ['a','b','c','d'][event_id % 4 + 1] folder, event_id, user_id, case when event_id % 4 = 3 then props end props,
+ round((case when event_id % 4 = 1 then value else cast(cast(value as float) as double) end) * 100) centi from events"""
+)
+def read_recordings_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Four folders whose files store one column with different types, also inside of lists."""
+    path = scratch_path(spark, "types")
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("user_id", F.col("user_id").cast("long"))
+    kinds = {"a": ("float", "int"), "b": ("double", "long"), "c": ("float", "long"), "d": ("float", "int")}
+    for rest, (folder, (number, whole)) in enumerate(kinds.items()):
+        part = events.where(F.col("event_id") % 4 == rest)
+        stored = part.select("event_id", F.array(F.col("value").cast(number)).alias("v"), F.col("user_id").cast(whole), *(["props"] if folder == "d" else []))
+        stored.write.parquet(f"{path}/{folder}")
+    rows = rec.read_recordings(spark, path)
+    centi = F.round(F.get("v", F.lit(0)) * 100).alias("centi")
+    return rows.select(F.substring_index(SEGMENT, "/", 1).alias("folder"), "event_id", centi, "user_id", "props")
+
+
 @query(f"with {EV} select segment_id, ordinal, time_ns, event_type from ev")
 def read_catalog(spark: SparkSession, sf: str) -> DataFrame:
     t.events(spark, sf).createOrReplaceTempView("recording_events")
@@ -503,7 +521,7 @@ def refuse_existing_output(spark: SparkSession, sf: str) -> DataFrame:
     frames = ep.build_episodes(t.recording(spark, sf), CONFIG)
     frames = frames.select(F.col(SEGMENT).alias("episode_index"), "frame_index", "task")
     refuse_existing(spark, path)
-    sinks.write_frames(frames, path)
+    sinks.write_table(frames, path, "data")
     refused = False
     try:
         refuse_existing(spark, path)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from framewright.functions import images, names, times, vectors
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
 from framewright.operators.scans import number_all
+from framewright.sources.mixed import READ_ERRORS, is_conflict, read_mixed
 
 
 def read_recordings(spark: SparkSession, path: str, *, segment: str = SEGMENT, merge: bool = True) -> DataFrame:
@@ -20,11 +21,17 @@ def read_recordings(spark: SparkSession, path: str, *, segment: str = SEGMENT, m
     Folders named ``column=value`` give that column as text, and a filter on it skips folders. Other
     folders are searched too. Without a segment column each file is one segment, named after its path
     below ``path`` without the ending. Nanosecond columns are read as integers. A missing folder raises.
-    ``merge=False`` takes the columns of one file, which saves a look at every file's footer.
+    ``merge=False`` takes the columns of one file, which saves a look at every file's footer. A column
+    of different types in different files takes the least type that holds them, see `read_mixed`.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     reader = spark.read.option("mergeSchema", str(merge).lower())
-    whole = reader.option("recursiveFileLookup", "true").parquet(path)
+    try:
+        whole = reader.option("recursiveFileLookup", "true").parquet(path)
+    except READ_ERRORS as e:
+        if not is_conflict(e):
+            raise
+        return read_mixed(spark, path, {segment: _path_below(path)})
     named = _by_folders(spark, path, merge, whole.columns)
     rows = whole if named is None else named
     if segment not in rows.columns:

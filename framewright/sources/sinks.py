@@ -8,22 +8,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REFUSE = "errorifexists"
+ROWS_PER_FILE = 1_000_000
 
 
-def write_frames(frames: DataFrame, path: str, *, squeeze: Sequence[str] = ()) -> None:
-    """Frames in dataset order, cut by frame number so that a long episode spans several files.
+def _by_address(table: DataFrame, number: str, rows_per_file: int) -> DataFrame:
+    """Rows numbered from 0 without holes, in files of ``rows_per_file`` consecutive numbers.
+
+    A row's number gives its file, so nothing is sampled and no file depends on the values.
+    """
+    last = table.agg(F.max(number)).first()[0]
+    files = 1 if last is None else last // rows_per_file + 1
+    placed = table.repartitionById(files, F.expr(f"cast(`{number}` div {rows_per_file} as int)"))
+    return placed.sortWithinPartitions(number)
+
+
+def write_frames(frames: DataFrame, path: str, *, squeeze: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Frames in dataset order, cut by their ``index`` so that a long episode spans several files.
 
     Vectors named in ``squeeze`` have one element and are stored as plain numbers.
     """
     for name in squeeze:
         frames = frames.withColumn(name, F.get(F.col(f"`{name}`"), F.lit(0)))
-    ranged = frames.repartitionByRange("episode_index", "frame_index")
-    ranged.sortWithinPartitions("episode_index", "frame_index").write.mode(REFUSE).parquet(f"{path}/data")
+    _by_address(frames, "index", rows_per_file).write.mode(REFUSE).parquet(f"{path}/data")
 
 
-def write_episodes(episodes: DataFrame, path: str) -> None:
-    ranged = episodes.repartitionByRange("episode_index").sortWithinPartitions("episode_index")
-    ranged.write.mode(REFUSE).parquet(f"{path}/meta/episodes")
+def write_episodes(episodes: DataFrame, path: str, *, rows_per_file: int = ROWS_PER_FILE) -> None:
+    _by_address(episodes, "episode_index", rows_per_file).write.mode(REFUSE).parquet(f"{path}/meta/episodes")
 
 
 def write_table(table: DataFrame, path: str, name: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from framewright import ConversionConfig, VideoSpec, convert_catalog, convert_dataset, convert_directory, write_dataset
 from framewright.sources import recordings as rec
+from framewright.sources import sinks
 
 SCHEMA = "segment_id string, ordinal long, time_ns long, a array<float>, s array<float>, task array<string>"
 CONFIG = ConversionConfig(fps=10, index_column="time_ns", action="a", state="s", task="task", task_default="idle")
@@ -247,3 +248,34 @@ def test_a_segment_without_frames_fails(spark):
     done = convert_dataset(recording, config, cameras=frames.where("segment_id = 'one'"))
     status = {r.segment_id: r.reason for r in done.status.collect()}
     assert status == {"one": None, "two": "no samples for camera 'front'"}
+
+
+def test_files_of_different_types(spark, tmp_path):
+    """Whole and float columns, lists and structs take the least type that holds them; folders name the segment."""
+    root = str(tmp_path / "odd 1")
+    first = ["cast(id as int) id", "cast(id as float) v", "array(cast(id as int)) l", "named_struct('x', cast(id as int), 'y', 1) s", "'only here' w"]
+    second = ["id", "id / 3 v", "array(id * 5000000000) l", "named_struct('y', 2, 'x', id * 5000000000) s"]
+    spark.range(3).selectExpr(*first).write.parquet(f"{root}/segment_id=007")
+    spark.range(3).selectExpr(*second).write.parquet(f"{root}/segment_id=a [b]")
+    got = rec.read_recordings(spark, root)
+    assert {f.name: f.dataType.simpleString() for f in got.schema} == {
+        "id": "bigint", "v": "double", "l": "array<bigint>", "s": "struct<x:bigint,y:int>", "w": "string", "segment_id": "string",
+    }
+    rows = {(r.segment_id, r.id): (r.v, r.l, r.s.x, r.s.y, r.w) for r in got.collect()}
+    assert rows == {("007", i): (float(i), [i], i, 1, "only here") for i in range(3)} | {
+        ("a [b]", i): (i / 3, [i * 5_000_000_000], i * 5_000_000_000, 2, None) for i in range(3)
+    }
+    spark.range(3).selectExpr("'text' v").write.parquet(f"{root}/segment_id=b")
+    with pytest.raises(ValueError, match="'v'"):
+        rec.read_recordings(spark, root)
+
+
+def test_files_by_address(spark, tmp_path):
+    frames = spark.range(0, 1000, 1, 7).selectExpr("999 - id as index", "array(id) one")
+    sinks.write_frames(frames, str(tmp_path / "d"), squeeze=["one"], rows_per_file=300)
+    read = spark.read.parquet(str(tmp_path / "d" / "data"))
+    files = read.groupBy(F.input_file_name().alias("f")).agg(F.min("index").alias("a"), F.count("*").alias("n"), F.max("index").alias("z"))
+    assert sorted((r.a, r.n, r.z) for r in files.collect()) == [(0, 300, 299), (300, 300, 599), (600, 300, 899), (900, 100, 999)]
+    assert read.schema["one"].dataType.simpleString() == "bigint"
+    sinks.write_episodes(spark.createDataFrame([], "episode_index long"), str(tmp_path / "e"))
+    assert spark.read.parquet(str(tmp_path / "e" / "meta" / "episodes")).count() == 0
