@@ -186,23 +186,24 @@ LOG = f"""{EV}, lg as (select segment_id, ordinal, time_ns,
  case when event_type='signup' or (event_type='error' and k < 50) then props end txt from ev)"""
 
 
+# Every column that the log can have, by the rules of `log`.
+NUMERIC = [A, "/mesh:Asset3D:blob"] + [f"/robot/joint_{n}:Scalars:scalars" for n in range(4)] + [f"/transforms/t{n}:Transform3D:translation" for n in range(100)]
+TEXTS = ["/instruction:TextDocument:text"] + [f"/camera/cam_{n}:VideoStream:sample" for n in range(5)]
+
+
 @query(
-    f"""with {LOG} select segment_id, ordinal, time_ns,
- case when entity_path='/robot/action' then {t.centi_sql('val')} end action,
- case when entity_path='/robot/joint_0' then {t.centi_sql('val')} end joint_0,
- case when entity_path='/instruction' then txt end instruction from lg"""
+    f"""with {LOG} select segment_id, ordinal, time_ns, entity_path || ':' || component || ':' || field as name,
+ {t.centi_sql('val')} numbers, txt as text from lg"""
 )
 def pivot_log(spark: SparkSession, sf: str) -> DataFrame:
-    joint = "/robot/joint_0:Scalars:scalars"
-    wide = rec.pivot_log(log(spark, sf), [A, joint], text=["/instruction:TextDocument:text"])
-    return wide.select(
-        SEGMENT,
-        ORDINAL,
-        TIME,
-        t.centi(q(A)).alias("action"),
-        t.centi(q(joint)).alias("joint_0"),
-        F.get(q("/instruction:TextDocument:text"), F.lit(0)).alias("instruction"),
-    )
+    """All columns of the log side by side; each row shows the columns that it fills."""
+    wide = rec.pivot_log(log(spark, sf), NUMERIC, text=TEXTS)
+    none = F.lit(None)
+    cells = [F.struct(F.lit(c).alias("name"), q(c).alias("numbers"), none.cast("array<string>").alias("text")) for c in NUMERIC]
+    cells += [F.struct(F.lit(c).alias("name"), none.cast(wide.schema[NUMERIC[0]].dataType).alias("numbers"), q(c).alias("text")) for c in TEXTS]
+    filled = F.filter(F.array(*cells), lambda cell: cell["numbers"].isNotNull() | cell["text"].isNotNull())
+    rows = wide.select(SEGMENT, ORDINAL, TIME, F.explode_outer(filled).alias("c"))
+    return rows.select(SEGMENT, ORDINAL, TIME, "c.name", t.centi(F.col("c.numbers")).alias("numbers"), F.get("c.text", F.lit(0)).alias("text"))
 
 
 @query(

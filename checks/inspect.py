@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from checks import tables as t
 from checks.align import LOG, log
-from checks.tables import query
+from checks.tables import A, G, S, T, query
 from framewright.functions import names
-from framewright.operators import inspect
+from framewright.operators import inspect, profile
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
 
 
@@ -196,24 +196,36 @@ def inspect_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""with {COLUMNS}, {SEGMENTS}, w as (select *, max(length(name)) filter (kind <> 'signal' or "rank" <= 30) over (partition by dataset, kind) w from rk),
- n as (select dataset, count(*) filter (kind='signal') sg, count(*) filter (kind='timeline') tl, count(*) filter (kind='task') tk, count(*) filter (kind='video') vd from rk group by dataset),
- b as (select dataset, case kind when 'signal' then 1 when 'timeline' then 2 when 'task' then 3 else 4 end section, "rank" place,
-  case kind when 'signal' then '  ' || rpad(name, w::int, ' ') || '  ' || rpad('dim ' || coalesce(dim::varchar, '?'), 7, ' ') || '  [' || component || ']'
-  when 'timeline' then '  ' || rpad(name, w::int, ' ') || '  (' || type_name || ')' || case when temporal then '' else '  (non-temporal)' end
-  when 'task' then '  ' || name || '  [' || component || ']' else '  ' || split_part(entity_path, '/', -1) || ':' || entity_path end line
-  from w where kind <> 'signal' or "rank" <= 30
-  union all select dataset, 0, 0, 'Inspected dataset ''' || dataset || ''' (' || num_segments || ' segment' || case when num_segments = 1 then '' else 's' end || ')' from n join seg using (dataset)
-  union all select dataset, s, 1000000, '' from n, (values (0),(1),(2),(3)) v(s)
-  union all select dataset, s, 0, x from n, (values (1,'Action / state candidates:'),(2,'Timelines:'),(3,'Task text candidates:'),(4,'Video streams:')) v(s,x)
-  union all select dataset, 1, 999999, '  ... and ' || (sg - 30) || ' more' from n where sg > 30
-  union all select dataset, s, 1, '  (none found)' from (select dataset, unnest([1,2,3,4]) s, unnest([sg,tl,tk,vd]) c from n) where c = 0)
- select dataset, row_number() over (partition by dataset order by section, place) line_number, section, line from b"""
+    f"""with {COLUMNS}, {SEGMENTS}, n as (select *, count(*) over (partition by dataset, kind) n from rk),
+ b as (select dataset, kind section, cast("rank" as int) "rank", case when kind = 'video' then entity_path else name end as name,
+  case when kind <> 'video' and contains(name, ':') then component end component, dim,
+  case when kind <> 'video' then coalesce(type_name, 'list<' || leaf || '>') end type_name, temporal,
+  case when kind = 'signal' then greatest(n - 30, 0) else 0 end hidden from n where kind <> 'signal' or "rank" <= 30
+  union all select dataset, s, null, null, null, null, null, null, 0 from (select distinct dataset from rk) d, (values ('signal'), ('timeline'), ('task'), ('video')) v(s)
+  where not exists (select 1 from rk r where r.dataset = d.dataset and r.kind = s))
+ select b.*, num_segments from b join seg using (dataset)"""
 )
 def inspection_report(spark: SparkSession, sf: str) -> DataFrame:
     return inspect.inspection_report(ranked(spark, sf), segment_counts(spark, sf))
 
 
+@query(
+    f"""with {t.rec_sql()}, v as ({' union all '.join(f"select '{c}' as name, count({v}) n, '{kind}' kind, 'float' leaf, {dim} dim, {rank} r from rec" for c, v, kind, dim, rank in ((S, 's', 'signal', 1, 1), (A, 'a', 'signal', 2, 2), (G, 'g', 'signal', 2, 3)))}
+  union all select '{T}', count(t), 'task', 'string', null, 1 from rec union all select 'time_ns', count(*), 'timeline', 'time', null, 1 from rec
+  union all select 'ordinal', count(*), 'timeline', 'integer', null, 2 from rec)
+ select name, kind, leaf, cast(dim as bigint) dim, cast(r as int) "rank", n "values" from v"""
+)
+def inspect_recording(spark: SparkSession, sf: str) -> DataFrame:
+    """A wide recording inspected by its schema, with lengths and counts of values from its rows."""
+    rows = t.recording(spark, sf)
+    lengths = profile.dim_profile(rows, [A, S, G]).groupBy("column").agg(F.min("min_dim").alias("low"), F.max("max_dim").alias("high"))
+    dims = {r["column"]: r["low"] for r in lengths.collect() if r["low"] == r["high"]}
+    found = inspect.inspect_dataset(rows, timelines={TIME: "timestamp[ns]"}, dims=dims)
+    counted = rows.agg(*[F.count(t.q(c)).alias(c) for c in rows.columns])
+    long = counted.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in rows.columns]), F.array(*[t.q(c) for c in rows.columns]))).alias("name", "values"))
+    return found.select("name", "kind", "leaf", "dim", "rank").join(long, ["name"])
+
+
 @query(
     f"""with {COLUMNS}, k as (select dataset, split_part(name, ':', 1) path, bool_or(name like '%:VideoStream:sample') v, bool_or(name like '%:EncodedImage:blob') e from cols group by 1, 2),
  sp as (select distinct dataset, entity_path path from cl where contains(name, ':') and name not like 'property:%')
