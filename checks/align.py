@@ -265,6 +265,29 @@ def segment_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return rec.segment_sizes(sized(spark, sf))
 
 
+def stored(spark: SparkSession, sf: str) -> str:
+    """The events stored in one folder per kind, as a recording with nanoseconds."""
+    path = scratch_path(spark, "stored")
+    rows = t.events(spark, sf).select(ORDINAL, TIME, "value", F.col("event_type").alias(SEGMENT))
+    rows.write.partitionBy(SEGMENT).parquet(path)
+    return path
+
+
+@query("select event_type segment_id, count(*) \"rows\", true sized from events group by 1")
+def stored_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes from the file listing; they are whole when their sum is that of the listed files."""
+    path = stored(spark, sf)
+    sizes = rec.stored_sizes(rec.read_recordings(spark, path))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    listed = files.groupBy(F.regexp_extract("path", "segment_id=([^/]*)", 1).alias(SEGMENT)).agg(F.sum("length").alias("listed"))
+    return sizes.join(listed, [SEGMENT], "left").select(SEGMENT, "rows", (F.col("size_bytes") == F.col("listed")).alias("sized"))
+
+
+@query(f"with {EV} select event_type segment_id, min(time_ns) min_ns, max(time_ns) max_ns, count(*) \"rows\" from ev group by 1")
+def stored_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    return rec.stored_ranges(spark, stored(spark, sf), TIME)
+
+
 @query(f"with {SIZES} select cast(sum(size_bytes) as bigint) total_bytes from sizes")
 def segment_bytes_total(spark: SparkSession, sf: str) -> DataFrame:
     return rec.segment_sizes(sized(spark, sf)).agg(F.sum("size_bytes").alias("total_bytes"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from framewright.functions import images, names, times, vectors
 from framewright.operators.align import ORDINAL, SEGMENT, TIME
 from framewright.operators.scans import number_all
+from framewright.session import stage
 from framewright.sources.mixed import READ_ERRORS, is_conflict, read_mixed
 
 
@@ -188,6 +189,56 @@ def segment_sizes(table: DataFrame, *, segment: str = SEGMENT, size: str = "size
     return table.groupBy(F.col(segment).alias(SEGMENT)).agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("size_bytes"))
 
 
+def stored_sizes(recording: DataFrame, *, segment: str = SEGMENT) -> DataFrame:
+    """``segment_id, rows, size_bytes``: bytes of the files that hold a segment, as the file listing gives them.
+
+    No column but the segment's is read, and none where files or folders name it. A file that holds
+    several segments counts for each by its share of the rows, rounded down, so every segment with
+    rows has a size. Segments without rows are not found. ``recording`` must come straight from files.
+    """
+    file, size = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size")
+    rows = recording.select(F.col(f"`{segment}`").alias(SEGMENT), file, size)
+    held = rows.groupBy(SEGMENT, "_file").agg(F.count(F.lit(1)).alias("rows"), F.first("_size").alias("_size"))
+    # one row per file and segment is left here
+    files = held.groupBy("_file").agg(F.sum("rows").alias("_all"))
+    share = F.expr("cast(cast(_size as decimal(20)) * rows div _all as bigint)")
+    return held.join(files, ["_file"]).groupBy(SEGMENT).agg(F.sum("rows").alias("rows"), F.sum(share).alias("size_bytes"))
+
+
+def stored_ranges(spark: SparkSession, path: str, index: str, *, segment: str = SEGMENT) -> DataFrame:
+    """``segment_id, min_ns, max_ns, rows`` of a timeline from the files' footers, without reading rows.
+
+    For recordings whose folders name the segment (``segment_id=…``) and whose timeline is stored as
+    whole nanoseconds. ``rows`` are those with a time; a segment without any has null bounds. A file
+    without any time, or without statistics, has no bounds in its footer: then the one column is read.
+    The result is written to the scratch folder, one row per segment.
+    """
+    keys = ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown", "spark.sql.sources.partitionColumnTypeInference.enabled")
+    before = {key: spark.conf.get(key) for key in keys}
+    footers = ",".join(s for s in before[keys[0]].split(",") if s != "parquet")  # the newer reader alone asks footers
+    try:
+        for key, value in zip(keys, (footers, "true", "false")):
+            spark.conf.set(key, value)
+        try:
+            return stage(range_rows(spark.read.parquet(path), index, segment), "ranges")
+        except READ_ERRORS as e:
+            if "No min/max found" not in str(e):
+                raise
+        for key in keys[:2]:
+            spark.conf.set(key, before[key])
+        return stage(range_rows(spark.read.parquet(path), index, segment), "ranges")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def range_rows(stored: DataFrame, index: str, segment: str) -> DataFrame:
+    if segment not in stored.columns or stored.schema[index].dataType.typeName() != "long":
+        raise ValueError(f"ranges need folders named by {segment!r} and whole nanoseconds in {index!r}")
+    at = F.col(f"`{index}`")
+    return stored.groupBy(F.col(f"`{segment}`").alias(SEGMENT)).agg(F.min(at).alias("min_ns"), F.max(at).alias("max_ns"), F.count(at).alias("rows"))
+
+
 def place_segments(spark: SparkSession, segments: Sequence[str]) -> DataFrame:
     """A given list of segments with their places."""
     rows = [(s, i) for i, s in enumerate(dict.fromkeys(segments))]

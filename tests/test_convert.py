@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framewright import ConversionConfig, VideoSpec, convert_catalog, convert_dataset, convert_directory, write_dataset
+from framewright.session import stage
 from framewright.sources import recordings as rec
 from framewright.sources import sinks
 
@@ -279,3 +280,28 @@ def test_files_by_address(spark, tmp_path):
     assert read.schema["one"].dataType.simpleString() == "bigint"
     sinks.write_episodes(spark.createDataFrame([], "episode_index long"), str(tmp_path / "e"))
     assert spark.read.parquet(str(tmp_path / "e" / "meta" / "episodes")).count() == 0
+
+
+def test_sizes_and_ranges_from_files(spark, tmp_path, monkeypatch):
+    """A file of several segments is shared by rows; ranges come from footers; null times and odd layouts."""
+    both = spark.createDataFrame([("a", 1), ("a", 2), ("a", None), ("b", 9)], "segment_id string, time_ns long").coalesce(1)
+    both.write.parquet(str(tmp_path / "one"))
+    size = sum(f.stat().st_size for f in (tmp_path / "one").glob("*.parquet"))
+    got = rec.stored_sizes(rec.read_recordings(spark, str(tmp_path / "one")))
+    assert {r.segment_id: (r.rows, r.size_bytes) for r in got.collect()} == {"a": (3, size * 3 // 4), "b": (1, size // 4)}
+    by_file = rec.stored_sizes(rec.read_recordings(spark, str(tmp_path / "one"), segment="file"), segment="file").collect()
+    assert [(r.rows, r.size_bytes) for r in by_file] == [(4, size)]
+
+    both.where("time_ns is not null").write.partitionBy("segment_id").parquet(str(tmp_path / "full"))
+    plans = []
+    monkeypatch.setattr(rec, "stage", lambda df, label: plans.append(df._jdf.queryExecution().toString()) or stage(df, label))
+    ranges = rec.stored_ranges(spark, str(tmp_path / "full"), "time_ns")
+    assert sorted(tuple(r) for r in ranges.collect()) == [("a", 1, 2, 2), ("b", 9, 9, 1)]
+    assert len(plans) == 1 and "PushedAggregation: [MIN(time_ns), MAX(time_ns), COUNT(time_ns)]" in plans[0]
+
+    both.unionByName(spark.createDataFrame([("007", None)], both.schema)).write.partitionBy("segment_id").parquet(str(tmp_path / "many"))
+    ranges = rec.stored_ranges(spark, str(tmp_path / "many"), "time_ns")
+    assert sorted((r.segment_id, r.min_ns, r.max_ns, r.rows) for r in ranges.collect()) == [("007", None, None, 0), ("a", 1, 2, 2), ("b", 9, 9, 1)]
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    with pytest.raises(ValueError, match="folders"):
+        rec.stored_ranges(spark, str(tmp_path / "one"), "time_ns", segment="run")
