@@ -1,19 +1,22 @@
 """Secrets: fixed patterns, and a linear-chain conditional random field that adds spans.
 
 Tokens are words. Each is tagged B (a secret begins), I (inside) or O. The score of a tag adds
-weights of the token's shape (kinds of characters, length, digits, changes of kind, a telling
-word in it), of the shapes before and after it, and of the file (how many of its words are not
-plain); further weights are for pairs of tags. Shapes are worked out once per distinct word of
-a batch with array operations.
+weights of the token (kinds of characters, length, digits, changes of kind, a telling word in it,
+signs of an assignment, its letters as one of IDENTITIES), of the tokens before and after it, and
+of the file (how many of its words are not plain, and how many assign); further weights are for
+pairs of tags. Features are worked out once per distinct word of a batch with array operations.
 
 The field is fitted on a bounded sample: windows around matches of the fixed patterns, whose
-tokens are B and I, and windows elsewhere. Viterbi decoding leaves out tokens that are certain:
+tokens are B and I; the same windows with the telling word hidden, the cue cut off, or the value
+rewritten in a wider alphabet, so that neither the cue nor the pattern's own shape is needed; and
+windows elsewhere, above all around words that look odd and match nothing. Viterbi decoding leaves out tokens that are certain:
 if O leads by more than all pairs of tags can make up for, no best path gives another tag
 there. The runs between certain tokens are decoded exactly.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -44,10 +47,13 @@ _MAYBE = r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=])|AKIA[A-Z
 _TELLING = r"(?i)passw|secret|token|api.?key|credential|bearer|auth|private|akia"
 
 O, B, I = 0, 1, 2  # noqa: E741
-SHAPE = 7  # features of a word
+SHAPE = 9  # features of a word
 FIND_BYTES = 2 << 20  # of text tagged at once; scores of all its tokens take about 30 times that
-WIDE = 112  # numbers that the features of one word can take
-FILE = 6
+IDENTITIES = 256  # classes of words by a hash of their letters, any case
+WIDE = 112 + IDENTITIES + 4  # numbers that the features of one word can take
+ODD = (0.0, 0.005, 0.02, 0.08, 0.3)  # steps of the share of words that are not plain
+ASSIGNING = (0.0, 0.01, 0.05)  # steps of the share of words with the sign of an assignment
+FILE = (len(ODD) + 1) * (len(ASSIGNING) + 1)
 
 _KIND = np.zeros(256, np.uint8)  # 0 other
 _KIND[97:123] = 1
@@ -55,6 +61,9 @@ _KIND[65:91] = 2
 _KIND[48:58] = 3
 _KIND[list(b"_-+/=")] = 4
 _KIND[128:] = 5
+_LETTER = np.zeros(256, np.uint64)  # any case of a letter alike
+_LETTER[97:123] = _LETTER[65:91] = np.arange(1, 27)
+_PLACE = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(16)], np.uint64)
 
 
 def fixed_spans(text: str) -> list[tuple[int, int, int]]:
@@ -88,16 +97,30 @@ def shapes(distinct: pa.Array) -> np.ndarray:
     telling = pc.match_substring_regex(distinct, _TELLING).to_numpy(zero_copy_only=False).astype(np.int64)
     plain = (count[3] + count[4] == 0).astype(np.int64)
     alone = (size >= 16) * (1 + (count[1] + count[3] == size) + 2 * (count[2] + count[3] == size))
-    columns = (present, 32 + length, 40 + digits, 46 + upper, 52 + np.minimum(15, changes), 68 + 2 * telling + plain, 72 + np.minimum(7, length) * 5 + np.minimum(4, alone))
+    bytes_ = np.frombuffer(joined.buffers()[2], np.uint8)[: offsets[n]]
+    place = (np.arange(offsets[n]) - np.repeat(starts, size)) & 15
+    identity = (np.add.reduceat(_LETTER[bytes_] * _PLACE[place], starts) >> np.uint64(56)).astype(np.int64) % IDENTITIES
+    sign = (bytes_ == 61) | (bytes_ == 58)  # = and :
+    at_end = sign[offsets[1:] - 1]
+    letters = count[1] + count[2] > 0
+    assigns = np.where(at_end, 1 + letters, 3 * np.logical_or.reduceat(sign, starts))
+    columns = (present, 32 + length, 40 + digits, 46 + upper, 52 + np.minimum(15, changes), 68 + 2 * telling + plain, 72 + np.minimum(7, length) * 5 + np.minimum(4, alone), 112 + identity, 112 + IDENTITIES + assigns)
     return np.stack(columns, axis=1)
 
 
-def file_feature(features: np.ndarray, codes: np.ndarray) -> int:
-    """How many words of the file are not plain, in steps."""
+def file_features(features: np.ndarray, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per text, whose words are those between two bounds: how many are not plain and how many assign, in steps."""
     if not len(codes):
-        return 0
-    odd = 1 - float((features[codes, 5] & 1).mean())
-    return int(np.searchsorted([0.0, 0.005, 0.02, 0.08, 0.3], odd))
+        return np.zeros(len(bounds) - 1, np.int64)
+    count = np.diff(bounds)
+
+    def steps(flag: np.ndarray, edges: tuple) -> np.ndarray:
+        so_far = np.concatenate([[0], np.cumsum(flag[codes])])
+        return np.searchsorted(edges, (so_far[bounds[1:]] - so_far[bounds[:-1]]) / np.maximum(1, count))
+
+    odd = steps(1 - (features[:, 5] & 1), ODD)
+    assigning = steps(features[:, 8] > 112 + IDENTITIES, ASSIGNING)
+    return np.where(count > 0, odd * (len(ASSIGNING) + 1) + assigning, 0)
 
 
 @dataclass
@@ -139,27 +162,98 @@ class Field:
         return tags
 
 
-def _windows(texts: list[str], reach: int, apart: int):
-    """Windows of tokens with their tags, around matches and at regular places elsewhere."""
+# Alphabets of rewritten values, and what stands for a hidden word.
+_ALPHABETS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.")
+_HIDDEN = "name"
+
+
+def _rewritten(value: str) -> str:
+    """A value of 16 to 111 characters, half of them under 48, that depends on ``value`` alone."""
+    digest = hashlib.shake_256(value.encode()).digest(114)
+    alphabet = _ALPHABETS[digest[0] % len(_ALPHABETS)]
+    size = 16 + digest[1] % (32 if digest[1] < 128 else 96)
+    return "".join(alphabet[b % len(alphabet)] for b in digest[2 : 2 + size])
+
+
+def _variants(text: str, start: int, kind: str, stop: int, around: int) -> list[tuple[str, int, int]]:
+    """The surroundings of a match and of three changed forms of it: (text, start, end) each."""
+    before, after = text[max(0, start - around) : start], text[stop : stop + around]
+    whole = text[start:stop]
+    word, value = "", whole
+    if kind == "assign":
+        m = _FIND[kind].match(whole)
+        word, value = m[1], m[2]
+    forms = [whole, value, _rewritten(value)]
+    if word:
+        forms += [_HIDDEN + whole[len(word) :], whole[: len(whole) - len(value)] + _rewritten(value)]
+    return [(before + form + after, len(before), len(before) + len(form)) for form in forms]
+
+
+def _windows(texts: list[str], reach: int, apart: int, odd: int = 6):
+    """Windows of tokens with their tags: around matches and changed forms of them, around at most
+    ``odd`` words a text that look like a value or tell of one but match nothing, and at regular places."""
     out = []
+    kinds = list(PATTERNS)
     for text in texts:
         words = words_of(pa.array([text]), lower=False)
         features = shapes(words.distinct)
         place = np.cumsum((words.data & 0xC0) != 0x80)
         begin, end = place[words.starts] - 1, place[words.ends - 1]
         tags = np.zeros(len(begin), np.int8)
-        for start, _, stop in fixed_spans(text):
+        spans = fixed_spans(text)
+        for start, _, stop in spans:
             inside = np.flatnonzero((begin < stop) & (end > start))
             tags[inside] = I
             tags[inside[:1]] = B
-        centres = np.concatenate([np.flatnonzero(tags == B), np.arange(reach, len(tags), apart)])
-        file = file_feature(features, words.codes)
+        looks = features[words.codes]
+        strange = np.flatnonzero((tags == O) & ((looks[:, 5] >= 70) | ((end - begin >= 8) & (looks[:, 5] == 68))))
+        strange = strange[np.unique(np.linspace(0, len(strange) - 1, odd).astype(int))] if len(strange) else strange
+        centres = np.concatenate([np.flatnonzero(tags == B), strange, np.arange(reach, len(tags), apart)])
+        file = int(file_features(features, words.codes, np.array([0, len(words.codes)]))[0])
         for c in centres.tolist():
             cut = slice(max(0, c - reach), c + reach + 1)
-            out.append((features[words.codes[cut]], tags[cut], file))
+            out.append((looks[cut], tags[cut], file))
+        covered = 0
+        for start, order, stop in spans:
+            if start < covered:
+                continue  # inside the match before
+            covered = stop
+            for changed, a, z in _variants(text, start, kinds[order], stop, 12 * reach)[1:]:
+                own = words_of(pa.array([changed]), lower=False)
+                at = np.cumsum((own.data & 0xC0) != 0x80)
+                first, last = at[own.starts] - 1, at[own.ends - 1]
+                marked = np.zeros(len(first), np.int8)
+                for s, e in [(a, z), *((s, e) for s, _, e in fixed_spans(changed))]:
+                    inside = np.flatnonzero((first < e) & (last > s))
+                    marked[inside] = I
+                inside = np.flatnonzero(marked == I)
+                marked[inside[np.concatenate([[True], np.diff(inside) > 1])]] = B
+                c = int(np.flatnonzero((first < z) & (last > a))[0])
+                cut = slice(max(0, c - reach), c + reach + 1)
+                out.append((shapes(own.distinct)[own.codes][cut], marked[cut], file))
     return out
 
 
+def marginals(scores: np.ndarray, mask: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of the tags of every token and of the tags of neighbours, given each window's
+    scores; tokens that are masked, at a window's end, have none."""
+
+    def scaled(x: np.ndarray) -> np.ndarray:
+        return x / np.maximum(x.sum(-1, keepdims=True), 1e-300)
+
+    here = np.exp(scores - scores.max(2, keepdims=True))
+    step = np.exp(pairs - pairs.max())
+    ahead, behind = np.empty_like(here), np.ones_like(here)
+    ahead[:, 0] = scaled(here[:, 0])
+    for t in range(1, here.shape[1]):
+        ahead[:, t] = scaled((ahead[:, t - 1] @ step) * here[:, t])
+    for t in range(here.shape[1] - 2, -1, -1):
+        behind[:, t] = np.where(mask[:, t + 1, None], scaled((here[:, t + 1] * behind[:, t + 1]) @ step.T), 1)
+    joint = ahead[:, :-1, :, None] * step * (here * behind)[:, 1:, None, :]
+    joint *= (mask[:, 1:] / np.maximum(joint.sum((2, 3)), 1e-300))[..., None, None]
+    return scaled(ahead * behind) * mask[..., None], joint
+
+
 def fit(windows: list, *, rounds: int = 150, penalty: float = 1e-3) -> Field:
     """The weights of greatest penalised likelihood, by gradient steps of adapted size."""
     n, width = len(windows), max((len(t) for _, t, _ in windows), default=1)
@@ -168,8 +262,10 @@ def fit(windows: list, *, rounds: int = 150, penalty: float = 1e-3) -> Field:
     file = np.array([f for _, _, f in windows], np.int64)
     for i, (f, t, _) in enumerate(windows):
         rows[i, : len(t)], tags[i, : len(t)], mask[i, : len(t)] = f, t, True
-    left, right = np.full_like(rows, WIDE), np.full_like(rows, WIDE)
-    left[:, 1:], right[:, :-1] = rows[:, :-1], rows[:, 1:]
+    # equal tokens are worked out once
+    kinds, place = np.unique(rows.reshape(-1, SHAPE), axis=0, return_inverse=True)
+    place = place.reshape(n, width)
+    sides = ((place, slice(None)), (place[:, :-1], slice(1, None)), (place[:, 1:], slice(None, -1)))
     parts = [np.zeros((WIDE + 1, 3)), np.zeros((WIDE + 1, 3)), np.zeros((WIDE + 1, 3)), np.zeros((FILE, 3)), np.zeros((3, 3))]
     if not n:
         parts[3][:, O] = 50.0
@@ -180,27 +276,19 @@ def fit(windows: list, *, rounds: int = 150, penalty: float = 1e-3) -> Field:
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parts]
     for step in range(1, rounds + 1):
         own, before, after, of_file, pairs = parts
-        scores = own[rows].sum(2) + before[left].sum(2) + after[right].sum(2) + of_file[file][:, None]
-        scores = np.where(mask[..., None], scores, 0)
-        alpha, beta = np.zeros_like(scores), np.zeros_like(scores)
-        alpha[:, 0] = scores[:, 0]
-        for t in range(1, width):
-            ahead = np.logaddexp.reduce(alpha[:, t - 1, :, None] + pairs, axis=1) + scores[:, t]
-            alpha[:, t] = np.where(mask[:, t, None], ahead, alpha[:, t - 1])
-        for t in range(width - 2, -1, -1):
-            behind = np.logaddexp.reduce(pairs + (scores[:, t + 1] + beta[:, t + 1])[:, None], axis=2)
-            beta[:, t] = np.where(mask[:, t + 1, None], behind, 0)
-        total = np.logaddexp.reduce(alpha[:, -1], axis=1)
-        expected = np.exp(alpha + beta - total[:, None, None]) * mask[..., None]
-        joint = np.exp(alpha[:, :-1, :, None] + pairs + (scores[:, 1:] + beta[:, 1:])[:, :, None] - total[:, None, None, None])
+        scores = np.zeros((n, width, 3)) + of_file[file][:, None]
+        for weights, (tokens, at) in zip((own, before, after), sides):
+            scores[:, at] += weights[kinds].sum(1)[tokens]
+        expected, joint = marginals(scores, mask, pairs)
         rest = gold - expected
         slopes = []
-        for index in (rows, left, right):
-            slope = np.stack([np.bincount(index.ravel(), np.repeat(rest[..., k].ravel(), SHAPE), WIDE + 1) for k in range(3)], axis=1)
+        for tokens, at in sides:
+            of_kind = [np.bincount(tokens.ravel(), rest[:, at, k].ravel(), len(kinds)) for k in range(3)]
+            slope = np.stack([np.bincount(kinds.ravel(), np.repeat(g, SHAPE), WIDE + 1) for g in of_kind], axis=1)
             slope[WIDE] = 0
             slopes.append(slope)
         slopes.append(np.stack([np.bincount(file, rest[..., k].sum(1), FILE) for k in range(3)], axis=1))
-        slopes.append(gold_pairs - (joint * both[..., None, None]).sum((0, 1)))
+        slopes.append(gold_pairs - joint.sum((0, 1)))
         for p, s, (m, v) in zip(parts, slopes, moments):
             s = s / n - penalty * p
             m += 0.1 * (s - m)
@@ -209,7 +297,7 @@ def fit(windows: list, *, rounds: int = 150, penalty: float = 1e-3) -> Field:
     return Field(*parts)
 
 
-def train(docs: DataFrame, *, sample: int = 1500, reach: int = 8, apart: int = 400, most_parts: int = 50, key: str = "doc_id", text: str = "text") -> Field:
+def train(docs: DataFrame, *, sample: int = 600, reach: int = 8, apart: int = 400, most_parts: int = 50, key: str = "doc_id", text: str = "text") -> Field:
     """A field fitted on at most ``2 * sample`` documents: those of least hash with a match of a
     fixed pattern, and those without. Rows equal in key and length count as one, and a text gives
     at most ``most_parts`` parts of 4000 characters, spread evenly, so the sample is bounded."""
@@ -267,11 +355,8 @@ def _finder(docs: DataFrame, field: Field, text: str, name: str):
             bounds = words.of_text
             first = np.zeros(len(words.codes) + 1, bool)
             first[bounds[:-1]] = True
-            # the share of plain words per text, as in file_feature
-            odd = np.concatenate([[0], np.cumsum(1 - (features[words.codes, 5] & 1))]) if len(words.codes) else np.zeros(1)
             count = np.diff(bounds)
-            share = (odd[bounds[1:]] - odd[bounds[:-1]]) / np.maximum(1, count)
-            files = np.where(count > 0, np.searchsorted([0.0, 0.005, 0.02, 0.08, 0.3], share), 0)
+            files = file_features(features, words.codes, bounds)
             scores = model.emissions(features, words.codes, first[:-1], np.repeat(files, count)) if len(words.codes) else np.zeros((0, 3))
             most = 2 * (model.pairs.max() - model.pairs.min())
             open_ = np.concatenate([[0], np.cumsum(scores[:, O] - scores[:, 1:].max(axis=1) <= most)])

@@ -295,7 +295,7 @@ def test_sample_of_equal_rows(spark, monkeypatch):
     monkeypatch.setattr(secrets, "fit", given.append)
     docs = spark.createDataFrame([(1, "plain words here")] * 3000 + [(2, "w " * 400_000)], "doc_id long, text string")
     secrets.train(docs, sample=5, reach=8, apart=400)
-    assert len(given[0]) <= 1 + 51 * 5
+    assert len(given[0]) <= 1 + 51 * (5 + 6)  # at regular places, and around words that look odd
 
 
 def test_evidence_names_neighbours(spark):
@@ -311,3 +311,43 @@ def test_evidence_names_neighbours(spark):
         near = [int(e.key) for e in r.evidence]
         assert r.predicted == int("vile" in r.text) and bool(near) == ("vile" in r.text)
         assert all(i % 4 == 0 for i in near) and [e.cosine for e in r.evidence] == sorted((e.cosine for e in r.evidence), reverse=True)
+
+
+def test_marginals():
+    """Against all tag sequences, with windows of different lengths."""
+    rng = np.random.default_rng(4)
+    scores, pairs = rng.normal(size=(5, 4, 3)) * 3, rng.normal(size=(3, 3)) * 2
+    mask = np.arange(4) < np.array([4, 3, 1, 2, 4])[:, None]
+    one, two = secrets.marginals(scores, mask, pairs)
+    for w in range(5):
+        n = mask[w].sum()
+        want, want_two, total = np.zeros((4, 3)), np.zeros((3, 3, 3)), 0.0
+        for path in np.ndindex(*[3] * n):
+            p = np.exp(sum(scores[w, i, t] for i, t in enumerate(path)) + sum(pairs[a, b] for a, b in zip(path, path[1:])))
+            total += p
+            for i, t in enumerate(path):
+                want[i, t] += p
+            for i, (a, b) in enumerate(zip(path, path[1:])):
+                want_two[i, a, b] += p
+        assert np.allclose(one[w], want / total) and np.allclose(two[w], want_two / total)
+
+
+def test_field_finds_secrets_that_no_pattern_matches(spark):
+    """Learnt from texts with matches of the fixed patterns alone; e-mail addresses, numbers and long words are no secrets."""
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    some = lambda n, of=letters: "".join(rng.choice(of) for _ in range(n))
+
+    def plain():
+        odd = [f"{words(rng, 1)}.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com", str(rng.randrange(10**15)), words(rng, 3).replace(" ", "")]
+        return f"{words(rng, 30)} {rng.choice(odd)} {words(rng, 30)}"
+
+    forms = [lambda: "ghp_" + some(36), lambda: f'pwd = "{some(20)}"', lambda: "credential: " + some(24), lambda: "Bearer " + some(40)]
+    known = [(i, f"{plain()} token = \"{some(40, '0123456789abcdef')}\" {plain()}") for i in range(300)] + [(300 + i, plain()) for i in range(300)]
+    planted = [(1000 + i, f"{plain()} {rng.choice(forms)()} {plain()}") for i in range(100)]
+    clean = [(2000 + i, plain()) for i in range(200)]
+    assert not any(plain_spans(t) for _, t in planted + clean)
+    schema = "doc_id long, text string"
+    field = secrets.train(spark.createDataFrame(known, schema))
+    found = {r.doc_id for r in secrets.find(spark.createDataFrame(planted + clean, schema), field).collect() if r.secrets}
+    assert len([i for i in found if i < 2000]) >= 90 and len([i for i in found if i >= 2000]) <= 4
