@@ -311,7 +311,8 @@ def train(docs: DataFrame, *, sample: int = 600, reach: int = 8, apart: int = 40
     chosen = near.where(F.col("h") <= F.when(F.col("has"), F.lit(tops[0])).otherwise(F.lit(tops[1]))).groupBy("h", "has").agg(F.min("text").alias("text"))
     last = "int(greatest(length(text) - 1, 0) / 4000)"
     parts = f"transform(sequence(0, {last}, 1 + int({last} / {most_parts})), i -> substring(text, i * 4000 + 1, 4000))"
-    found = chosen.select(F.explode(F.expr(parts)).alias("text"))
+    # a small table would be one task after its shuffle, and its windows are costly
+    found = chosen.select(F.explode(F.expr(parts)).alias("text")).repartition(docs.sparkSession.sparkContext.defaultParallelism, "text")
 
     def run(batches):
         import pickle
