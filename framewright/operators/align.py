@@ -12,6 +12,7 @@ from framewright.operators.scans import (
     CHUNK,
     ROWS_PER_CHUNK,
     Chunks,
+    chunk_numbers,
     join_carry,
     only_split_groups,
     plan_chunks,
@@ -195,7 +196,9 @@ def latest_at_frames(
     found = F.coalesce(F.col("_seen"), F.col("_head")) if clamp else F.col("_seen")
     if chunks.split:
         at = F.when(F.col("_hit").isNotNull(), F.struct(TIME, "_side", ORDINAL))
-        ends = only_split_groups(both, chunks).groupBy(*chunks.partition)
+        # Only frames are looked up again; chunks without any have a row of their own.
+        held = only_split_groups(both.where(F.col("_side") == 0), chunks)
+        ends = held.unionByName(chunk_numbers(chunks), allowMissingColumns=True).groupBy(*chunks.partition)
         ends = ends.agg(F.max_by("_hit", at).alias("_last"), F.min_by("_hit", at).alias("_first"))
         by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
         before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)

@@ -21,6 +21,9 @@ ROWS_PER_CHUNK = 1_000_000
 # Sampled rows per chunk. They only choose where chunks begin; every row is kept.
 SAMPLES_PER_CHUNK = 64
 
+# Starts that a group's own row holds at most; only longer groups have cells.
+WHOLE_STARTS = 64
+
 CHUNK = "_chunk"
 
 
@@ -28,10 +31,11 @@ CHUNK = "_chunk"
 class Chunks:
     """Where the chunks of large groups begin.
 
-    ``groups`` has one row per large group and ``cells`` one per cell of it; both are None
-    when no group is large. A group of n chunks has about the square root of n cells of as many
-    chunk starts each, however the positions are spread; the group's row knows where its cells
-    begin. A row finds its cell and then its chunk by halving, with equi-joins only.
+    ``groups`` has one row per large group, None when no group is large. With up to
+    ``WHOLE_STARTS`` starts the row holds them all, and one equi-join finds the chunk by halving.
+    A group of more has about the square root of n cells of as many chunk starts each, however
+    the positions are spread; its row knows where the cells begin, and a second equi-join with
+    ``cells`` finds the chunk. ``cells`` is None when no group has so many.
     """
 
     keys: tuple[str, ...]
@@ -63,32 +67,55 @@ def plan_chunks(
     """Find the groups above ``rows_per_chunk`` and cut them at sampled positions.
 
     ``order`` must be unique within a group. Runs one counting job; large groups cost
-    one more pass over their keys. The bounds hold about one entry per
-    ``rows_per_chunk`` rows and are staged, so they never pass through the driver.
-    ``counted`` is a table with the same groups that is cheaper to count than ``df``.
+    one more pass over their keys. Chunks so short that every row is a sample are counted
+    and cut in the same pass. The bounds hold about one entry per ``rows_per_chunk`` rows
+    and are staged, so they never pass through the driver. ``counted`` is a table with the
+    same groups that is cheaper to count than ``df``.
     """
     keys, order = tuple(keys), tuple(order)
-    sizes = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > rows_per_chunk).drop("_rows")
-    if large.isEmpty():
-        return Chunks(keys, order)
-
     every = max(1, rows_per_chunk // SAMPLES_PER_CHUNK)
-    sampled = df.where(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order]), F.lit(every)) == 0)
-    sampled = sampled.select(*keys, _position(order).alias("_at"))
-    sampled = sampled.join(large, list(keys), "left_semi")
-    ranked = sampled.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("_at")))
-    begins = stage(ranked.where(F.col("_rank") % max(1, rows_per_chunk // every) == 0), "chunk-begins")
+    in_order = Window.partitionBy(*keys).orderBy(*[F.col(f"`{c}`") for c in order])
+    placed = df.select(*keys, *[F.col(f"`{c}`") for c in order if c not in keys])
+    if every == 1:
+        for key in keys:
+            placed = placed.where(F.col(key).isNotNull())
+        whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        placed = placed.withColumn("_rows", F.count(F.lit(1)).over(whole))
+    else:
+        sizes = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        large = sizes.where(F.col("_rows") > rows_per_chunk)
+        if large.isEmpty():
+            return Chunks(keys, order)
+        sampled = placed.where(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order]), F.lit(every)) == 0)
+        placed = sampled.join(large, list(keys))
+
+    ranked = placed.withColumn("_rank", F.row_number().over(in_order))
+    ranked = ranked.where((F.col("_rows") > rows_per_chunk) & (F.col("_rank") % max(1, rows_per_chunk // every) == 0))
+    begins = stage(ranked.select(*keys, _position(order).alias("_at")), "chunk-begins")
+    if every == 1 and begins.isEmpty():
+        return Chunks(keys, order)
 
     # equal numbers of starts in each cell, whatever the type or the spread of the positions
     group = Window.partitionBy(*keys)
-    step = F.ceil(F.sqrt(F.count(F.lit(1)).over(group))).cast("int")
-    placed = begins.select(*keys, "_at", (F.row_number().over(group.orderBy("_at")) - 1).alias("_place"), step.alias("_step"))
-    placed = placed.withColumn("_cell", F.call_function("div", F.col("_place"), F.col("_step")).cast("int"))
-    held = placed.groupBy(*keys, "_cell").agg(F.array_sort(F.collect_list("_at")).alias("_begins"), F.min("_place").alias("_base"))
-    cells = stage(held, "chunk-cells")
-    groups = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.get("_begins", F.lit(0)))).alias("_edges"))
-    return Chunks(keys, order, stage(groups, "chunk-groups"), cells)
+    starts = F.count(F.lit(1)).over(group)
+    step = F.when(starts <= WHOLE_STARTS, starts).otherwise(F.ceil(F.sqrt(starts))).cast("int")
+    numbered = begins.select(
+        *keys,
+        "_at",
+        (F.row_number().over(group.orderBy("_at")) - 1).alias("_place"),
+        step.alias("_step"),
+        (starts <= WHOLE_STARTS).alias("_alone"),
+    )
+    numbered = numbered.withColumn("_cell", F.call_function("div", F.col("_place"), F.col("_step")).cast("int"))
+    held = numbered.groupBy(*keys, "_alone", "_cell")
+    held = stage(held.agg(F.array_sort(F.collect_list("_at")).alias("_begins"), F.min("_place").alias("_base")), "chunk-cells")
+    alone = held.where("_alone").select(*keys, F.col("_begins").alias("_starts"))
+    cells = held.where(~F.col("_alone")).drop("_alone")
+    if cells.isEmpty():
+        return Chunks(keys, order, stage(alone, "chunk-groups"))
+    edges = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.get("_begins", F.lit(0)))).alias("_edges"))
+    groups = edges.unionByName(alone, allowMissingColumns=True)
+    return Chunks(keys, order, stage(groups, "chunk-groups"), stage(cells, "chunk-cells"))
 
 
 def _begun(begins: Column, at: Column) -> Column:
@@ -113,12 +140,29 @@ def _find_chunk(df: DataFrame, chunks: Chunks, how: str) -> DataFrame:
     # No broadcast hints: both tables are written and of known size. Spark broadcasts
     # them below its threshold; above it the cells spread a large group by themselves.
     at = _position(chunks.order)
-    located = df.join(chunks.groups, list(chunks.keys), how)
+    found = df.join(chunks.groups, list(chunks.keys), how)
+    number = F.when(F.col("_starts").isNotNull(), _begun(F.col("_starts"), at))
+    if chunks.cells is None:
+        return found.withColumn(CHUNK, F.coalesce(number, F.lit(0))).drop("_starts")
     cell = F.when(F.col("_edges").isNotNull(), F.greatest(_begun(F.col("_edges"), at) - 1, F.lit(0)))
-    located = located.withColumn("_cell", cell.cast("int")).join(chunks.cells, [*chunks.keys, "_cell"], how)
-    inside = F.when(F.col("_begins").isNull(), 0).otherwise(_begun(F.col("_begins"), at))
-    found = located.withColumn(CHUNK, F.coalesce(F.col("_base") + inside, F.lit(0)))
-    return found.drop("_edges", "_cell", "_begins", "_base")
+    # The number that needs no cell is worked out first, so that no list of starts is moved.
+    found = found.withColumn("_cell", cell.cast("int")).withColumn(CHUNK, number).drop("_edges", "_starts")
+    found = found.join(chunks.cells, [*chunks.keys, "_cell"], "left")
+    inside = F.when(F.col("_begins").isNotNull(), F.col("_base") + _begun(F.col("_begins"), at))
+    found = found.withColumn(CHUNK, F.coalesce(CHUNK, inside, F.lit(0)))
+    return found.drop("_cell", "_begins", "_base")
+
+
+def chunk_numbers(chunks: Chunks) -> DataFrame:
+    """One row per chunk of the groups that were cut, also where no row lies in it."""
+    keys = list(chunks.keys)
+    alone = chunks.groups.where(F.col("_starts").isNotNull())
+    alone = alone.select(*keys, F.explode(F.sequence(F.lit(0), F.size("_starts"))).alias(CHUNK))
+    if chunks.cells is None:
+        return alone
+    first = F.when(F.col("_base") == 0, 0).otherwise(F.col("_base") + 1)
+    inside = F.sequence(first, F.col("_base") + F.size("_begins"))
+    return alone.unionByName(chunks.cells.select(*keys, F.explode(inside).alias(CHUNK)))
 
 
 def with_chunk(df: DataFrame, chunks: Chunks) -> DataFrame:

@@ -102,6 +102,59 @@ def test_latest_at_frames(spark, limit):
         assert [f for _, f in mine] == expected
 
 
+def shots(seed):
+    """Targets and frames of groups of very different sizes: long runs without a frame, no frames, null keys and times."""
+    rng = random.Random(seed)
+    shown, asked = [], []
+    for k, n, m in (("hot", 300, 12), ("even", 90, 90), ("few", 5, 60), ("none", 70, 0), (None, 30, 30), ("one", 1, 1)):
+        asked += [(k, i, rng.randrange(200)) for i in range(n)] + [(k, n, None)]
+        shown += [(k, i, rng.randrange(50, 250)) for i in range(m)]
+    return asked, shown
+
+
+def brute_frames(asked, shown, clamp):
+    out = []
+    for k, i, time in asked:
+        held = sorted((t, o) for kk, o, t in shown if kk == k)
+        if time is None:
+            continue
+        at = bisect.bisect_right([t for t, _ in held], time) - 1
+        found = held[max(at, 0)] if held and (at >= 0 or clamp) else (None, None)
+        out.append((k, time, i, found[1], found[0]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("clamp", [True, False])
+@pytest.mark.parametrize("limit", [1, 4, 20, 1000])
+def test_frames_against_binary_search(spark, limit, clamp):
+    asked, shown = shots(limit)
+    schema = "k string, ordinal long, time_ns long"
+    targets, frames = spark.createDataFrame(asked, schema).repartition(3), spark.createDataFrame(shown, schema).repartition(3)
+    got = align.latest_at_frames(targets, frames, ["k"], clamp=clamp, rows_per_chunk=limit)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_frames(asked, shown, clamp)
+
+
+def test_chunked_frames_move_rows_twice(spark, tmp_path):
+    """Without broadcasts: targets are read once and moved to their group's starts and to their chunk, and nowhere else."""
+    asked, shown = shots(5)
+    for name, rows in (("targets", asked), ("frames", shown)):
+        spark.createDataFrame(rows, "k string, ordinal long, time_ns long").write.parquet(f"{tmp_path}/{name}")
+    targets, frames = spark.read.parquet(f"{tmp_path}/targets"), spark.read.parquet(f"{tmp_path}/frames")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "1000"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = align.latest_at_frames(targets, frames, ["k"], rows_per_chunk=20)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, got.collect()), key=str) == brute_frames(asked, shown, True)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert plan.count(f"{tmp_path}/targets") == 1 and plan.count("SortMergeJoin") == 3
+    assert plan.count("Exchange hashpartitioning") == 8
+
+
 def test_time_grid(spark):
     ranges = spark.createDataFrame([("a", 0, 1_000_000_000), ("b", 5, 5), ("c", 0, 100_000_000_000_000)], "segment_id string, min_ns long, max_ns long")
     got = {r.segment_id: r for r in align.time_grid(ranges, 2).groupBy("segment_id").agg(

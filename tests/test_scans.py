@@ -97,6 +97,26 @@ def test_even_cells(spark, kind):
     assert all(r.n == r.id for r in got) and len(got) == 2001
 
 
+@pytest.mark.parametrize("limit", [1, 3, 10])
+def test_few_starts_need_no_cells(spark, limit):
+    """Groups of few chunks find them by their own row; every chunk is listed, and rows are cut the same either way."""
+    rows = [(k, i) for k, n in (("hot", 200), ("b", 25), ("c", 1), (None, 30)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, at long").repartition(3)
+    chunks = scans.plan_chunks(df, ["k"], ["at"], rows_per_chunk=limit)
+    assert (chunks.cells is None) == (200 // limit <= scans.WHOLE_STARTS)
+    got = {(r.k, r["at"]): r[scans.CHUNK] for r in scans.with_chunk(df, chunks).collect()}
+    assert got == {(k, i): (i + 1) // limit if k in ("hot", "b") else 0 for k, i in rows}
+    numbers = sorted((r.k, r[scans.CHUNK]) for r in scans.chunk_numbers(chunks).collect())
+    assert numbers == [(k, i) for k, n in (("b", 25), ("hot", 200)) for i in range(n // limit + 1)]
+
+
+def test_groups_of_just_the_limit(spark):
+    rows = [(k, i) for k, n in (("a", 20), ("b", 19), (None, 50)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, at long")
+    assert not scans.plan_chunks(df, ["k"], ["at"], rows_per_chunk=20).split
+    assert scans.plan_chunks(df, ["k"], ["at"], rows_per_chunk=19).split
+
+
 def test_heads(spark):
     """The first rows of each column; Spark limits each group before it shuffles."""
     rows = [(s, o, 100 - o // 2, e, "Scalars", "scalars", float(o)) for s in ("a", "b") for e in ("/x", "/y") for o in range(20)]
